@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses this package reproduces are bounded reads only: there is no
+watermark, window, late data or stateful operator among them, so no
+Structured Streaming query is defined.  Every operator is a lazy batch
+DataFrame and can be applied per micro-batch inside ``foreachBatch`` if
+tables arrive incrementally.
+"""
