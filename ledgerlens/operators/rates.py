@@ -83,8 +83,8 @@ def attach_usd_rate(df: DataFrame, rates: DataFrame, day_col: str, ccy_col: str)
     )
 
 
-def last_quote(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBOLS) -> DataFrame:
-    """Latest quote per symbol: ``event_symbol, snapshot_time, bid_price``.
+def latest_quotes(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBOLS) -> DataFrame:
+    """Latest quote per symbol with the price kept as stored (decimal).
 
     "Latest" follows ``ORDER BY snapshot_time DESC`` with nulls first (a quote
     without a snapshot time ranks first); ties go to the higher price.  As an
@@ -101,8 +101,9 @@ def last_quote(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBOLS)
             )
         ).alias("b")
     )
-    return best.select(
-        "event_symbol",
-        F.col("b.t").alias("snapshot_time"),
-        F.col("b.p").cast("double").alias("bid_price"),
-    )
+    return best.select("event_symbol", F.col("b.t").alias("snapshot_time"), F.col("b.p").alias("bid_price"))
+
+
+def last_quote(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBOLS) -> DataFrame:
+    """Latest quote per symbol: ``event_symbol, snapshot_time, bid_price`` (double)."""
+    return latest_quotes(quotes, symbols).withColumn("bid_price", F.col("bid_price").cast("double"))
