@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.dates import on_days
+from ledgerlens.functions.ordering import NULL_TIME_LAST, time_price_key
 from ledgerlens.functions.text import trim_chars
 from ledgerlens.plans.joins import broadcast_if_bounded
 from ledgerlens.scope import Scope
@@ -32,10 +33,10 @@ def fx_daily_rates(quotes: DataFrame, scope: Scope) -> DataFrame:
     ``scope.today``.  Of several quotes on one day the earliest wins, ties
     broken by the lower raw price, so the result is deterministic.
 
-    Written as an aggregate (``min`` over a struct) rather than a
-    ``row_number`` window: the aggregate combines map-side, so a currency that
-    holds a third of all ticks is reduced before the shuffle instead of being
-    sorted in a single task.
+    Written as a hash aggregate (``min_by`` over one packed ordering key)
+    rather than a ``row_number`` window: the aggregate combines map-side, so a
+    currency that holds a third of all ticks is reduced to one row per day
+    and partition before the shuffle instead of being sorted in one task.
     """
     q = quotes.where(
         F.col("event_symbol").isin(list(FX_PAIRS))
@@ -45,16 +46,16 @@ def fx_daily_rates(quotes: DataFrame, scope: Scope) -> DataFrame:
     rate = F.when(F.col("event_symbol").isin(list(USD_BASED)), F.try_divide(F.lit(1.0), raw)).when(
         F.col("event_symbol").isin(list(QUOTED_IN_USD)), raw
     )
-    first = (
+    return (
         q.select(
             F.to_date("bid_time").alias("transaction_time"),
             trim_chars(F.col("event_symbol"), PAIR_TRIM_CHARS).alias("quote_currency"),
-            F.struct(F.col("bid_time").alias("t"), F.col("bid_price").alias("p"), rate.alias("r")).alias("q"),
+            rate.alias("rate"),
+            time_price_key(F.col("bid_time"), F.col("bid_price")).alias("k"),
         )
         .groupBy("transaction_time", "quote_currency")
-        .agg(F.min("q").alias("q"))
+        .agg(F.min_by("rate", "k").alias("bid_price"))
     )
-    return first.select("transaction_time", "quote_currency", F.col("q.r").alias("bid_price"))
 
 
 def fx_rates_for_join(quotes: DataFrame, scope: Scope) -> DataFrame:
@@ -87,21 +88,16 @@ def latest_quotes(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBO
     """Latest quote per symbol with the price kept as stored (decimal).
 
     "Latest" follows ``ORDER BY snapshot_time DESC`` with nulls first (a quote
-    without a snapshot time ranks first); ties go to the higher price.  As an
-    aggregate over a struct it needs one row per symbol per partition in the
-    shuffle, however hot the symbol is.
+    without a snapshot time ranks first); ties go to the higher price.  As a
+    hash aggregate over one packed key it ships one row per symbol per
+    partition through the shuffle, however hot the symbol is.
     """
     q = quotes.where(F.col("event_symbol").isin(list(symbols)))
-    best = q.groupBy("event_symbol").agg(
-        F.max(
-            F.struct(
-                F.col("snapshot_time").isNull().alias("n"),
-                F.col("snapshot_time").alias("t"),
-                F.col("bid_price").alias("p"),
-            )
-        ).alias("b")
+    k = time_price_key(F.col("snapshot_time"), F.col("bid_price"), null_time=NULL_TIME_LAST)
+    return q.groupBy("event_symbol").agg(
+        F.max_by("snapshot_time", k).alias("snapshot_time"),
+        F.max_by("bid_price", k).alias("bid_price"),
     )
-    return best.select("event_symbol", F.col("b.t").alias("snapshot_time"), F.col("b.p").alias("bid_price"))
 
 
 def last_quote(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBOLS) -> DataFrame:

@@ -32,6 +32,13 @@ def get_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Target shuffle partition size after AQE coalescing.  Spark's 64 MB
+        # default suits a cluster; a laptop-sized input needs small partitions
+        # or every stage collapses into one task.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                os.environ.get("LEDGERLENS_ADVISORY_PARTITION", "1m"))
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                os.environ.get("LEDGERLENS_MIN_PARTITION", "64k"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "8g"))
     )

@@ -15,7 +15,7 @@ A deployment with real tables passes its own DataFrames to ``Tables``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -190,32 +190,70 @@ def oracle_with(*views: str) -> str:
     return "WITH " + ",\n".join(f"{v} AS ({view_select(v, DUCKDB_TS)})" for v in views) + "\n"
 
 
-@dataclass
+TABLE_NAMES = (
+    "principals",
+    "accounts",
+    "instruments",
+    "activities",
+    "activity_legs",
+    "orders",
+    "order_legs",
+    "positions",
+    "user_sessions",
+    "quotes_history",
+)
+
+
 class Tables:
-    """The brokerage tables as DataFrames.  ``orders`` is the orders view."""
+    """The brokerage tables as DataFrames (``orders`` is the orders view).
+
+    Each table is given either as a DataFrame or as a zero-argument callable
+    returning one; callables are resolved on first use, so a query only
+    touches the tables it reads.
+    """
+
+    def __init__(self, **frames: DataFrame | Callable[[], DataFrame]) -> None:
+        missing = set(TABLE_NAMES) - set(frames)
+        extra = set(frames) - set(TABLE_NAMES)
+        if missing or extra:
+            raise TypeError(f"Tables needs exactly {TABLE_NAMES}; missing {sorted(missing)}, extra {sorted(extra)}")
+        self._frames = dict(frames)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        frames = self.__dict__.get("_frames")
+        if frames is None or name not in frames:
+            raise AttributeError(name)
+        value = frames[name]
+        if not isinstance(value, DataFrame):
+            value = value()
+            frames[name] = value
+        return value
+
+
+_RAW: dict[tuple[str, str], DataFrame] = {}
+
 
-    principals: DataFrame
-    accounts: DataFrame
-    instruments: DataFrame
-    activities: DataFrame
-    activity_legs: DataFrame
-    orders: DataFrame
-    order_legs: DataFrame
-    positions: DataFrame
-    user_sessions: DataFrame
-    quotes_history: DataFrame
+def read_source(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)``, reused within one Spark application so
+    repeated queries do not re-list files and re-read footers."""
+    key = (spark.sparkContext.applicationId, path)
+    df = _RAW.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _RAW[key] = df
+    return df
 
 
 def derive_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     source, where, cols = VIEWS[view]
-    df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    df = read_source(spark, f"{sf_dir}/{source}.parquet")
     if where:
         df = df.where(where)
     return df.selectExpr(*[f"{expr.replace("{ts}", SPARK_TS)} AS {name}" for name, expr in cols])
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Derive all ten views from ``{sf_dir}/<table>.parquet``.  Lazy: no job runs."""
-    views = {v: derive_view(spark, sf_dir, v) for v in VIEWS}
-    views["orders"] = views.pop("ord")
-    return Tables(**views)
+    """The ten views over ``{sf_dir}/<table>.parquet``.  Lazy: nothing is read
+    until an operator uses a table, and no job runs."""
+    frames = {("orders" if v == "ord" else v): (lambda v=v: derive_view(spark, sf_dir, v)) for v in VIEWS}
+    return Tables(**frames)

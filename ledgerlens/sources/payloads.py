@@ -28,9 +28,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.sources.fixtures import read_source
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Source table for document generation, spread over at least the
+    cluster's parallelism: building and parsing JSON is CPU-bound, and a
+    source stored as one row group would otherwise be handled by one task.
+    On inputs with enough splits this adds nothing."""
+    df = read_source(spark, f"{sf_dir}/{name}.parquet")
+    n = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        df = df.repartition(n)
+    return df
 
 
 def client_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
