@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.dates import day_start
+from ledgerlens.functions.money import sum_money
 from ledgerlens.functions.periods import period_label
 from ledgerlens.functions.text import not_similar_or_null, rtrim_chars
 from ledgerlens.operators.rates import attach_usd_rate, fx_rates_for_join
@@ -113,14 +114,13 @@ def cash_movements_by_period(
 
     Only periods with at least one movement appear; an absent type is 0.
     Written as one conditional aggregate, so a single shuffle (with map-side
-    partial sums) produces the pivoted table.  Per-row amounts are summed as
-    ``decimal(38,6)`` so totals do not depend on the order rows arrive in.
+    partial sums) produces the pivoted table.  Totals are exact sums of
+    micro-units (``functions.money``), so they do not depend on row order.
     """
     moves = cash_movements(t, scope)
     label = period_label(F.to_date("transaction_time"), scope.freq)
-    money = F.col("usd").cast("decimal(38,6)")
     sums = [
-        F.coalesce(F.sum(F.when(F.col("activity_type") == a, money)).cast("double"), F.lit(0.0)).alias(a)
+        F.coalesce(sum_money(F.when(F.col("activity_type") == a, F.col("usd"))), F.lit(0.0)).alias(a)
         for a in activity_types
     ]
     return (

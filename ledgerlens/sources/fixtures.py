@@ -257,3 +257,35 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     until an operator uses a table, and no job runs."""
     frames = {("orders" if v == "ord" else v): (lambda v=v: derive_view(spark, sf_dir, v)) for v in VIEWS}
     return Tables(**frames)
+
+
+# Spark DDL of each table as the operators read it (all columns nullable).
+SCHEMAS = {
+    "principals": "id bigint, name string, created_time timestamp_ntz",
+    "accounts": "id bigint, account_code string, owner_id bigint, currency_id bigint, clearing_code string",
+    "instruments": "id bigint, symbol string, instrument_type string, additional_fields string",
+    "activities": (
+        "id bigint, account_id bigint, order_id bigint, activity_type string, created_time timestamp_ntz, "
+        "transaction_time timestamp_ntz, description string, action_code string, linked_position_code string"
+    ),
+    "activity_legs": (
+        "activity_id bigint, instrument_id bigint, quantity decimal(15,2), price decimal(15,2), "
+        "leg_type string, position_code string"
+    ),
+    "orders": (
+        "id bigint, status string, order_side string, created_time timestamp_ntz, transaction_time timestamp_ntz, "
+        "filled_quantity decimal(15,5), order_chain_id bigint, parameters string, extensions string"
+    ),
+    "order_legs": "order_id bigint, position_code string, price decimal(15,2), position_effect string",
+    "positions": (
+        "account_id bigint, instrument_id bigint, quantity decimal(15,2), cost decimal(15,2), code string, "
+        "opening_time timestamp_ntz"
+    ),
+    "user_sessions": "user_id bigint, expire_at timestamp_ntz",
+    "quotes_history": "event_symbol string, bid_time timestamp_ntz, snapshot_time timestamp_ntz, bid_price decimal(18,7)",
+}
+
+
+def tables_from_rows(spark: SparkSession, **rows: list[tuple]) -> Tables:
+    """Tables built from literal rows (tests, examples); unnamed tables are empty."""
+    return Tables(**{n: spark.createDataFrame(rows.get(n, []), SCHEMAS[n]) for n in TABLE_NAMES})
