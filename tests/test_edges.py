@@ -1,0 +1,408 @@
+"""One test per semantic trap, on literal rows."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.functions.periods import period_label
+from ledgerlens.functions.text import similar_to_regex, text_after_slash, trim_chars
+from ledgerlens.operators import cash, payloads, positions, rates, sessions, trades
+from ledgerlens.scope import Scope
+from ledgerlens.sources.fixtures import tables_from_rows
+
+T = dt.datetime
+SCOPE = Scope(date_from="2024-01-01", date_to="2024-01-31", today="2024-03-01", as_of="2024-06-01 00:00:00")
+
+PRINCIPALS = [(1, "alice", T(2023, 3, 1)), (2, "bob", T(2023, 3, 1)), (3, None, T(2023, 3, 1))]
+ACCOUNTS = [(10, "A10", 1, 100, "LIVE"), (20, "A20", 2, 100, "LIVE"), (30, "A30", 3, 100, "LIVE"),
+            (40, "A40", 1, 100, "DEMO")]
+INSTRUMENTS = [
+    (100, "USD", "CURRENCY", '[{"val": "Cash"}]'),
+    (101, "EUR/USD", "FX", '[{"val": "Forex Majors"}]'),
+    (102, "USD/JPY", "FX", '[{"val": "Indices"}]'),
+    (103, "BTC$", "CRYPTO", '[{"val": "Crypto"}]'),
+    (104, "USDT", "CRYPTO", '[{"val": "Crypto"}]'),
+    (105, "USDT$$", "CRYPTO", '[{"val": "Crypto"}]'),
+    (106, "AAPL", "EQUITY", '[{"val": "Stocks"}]'),
+]
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+# ---------------------------------------------------------------- scope (U1)
+def test_scope_rejects_empty_and_wrong_types():
+    with pytest.raises(ValueError):
+        Scope(users=[])
+    with pytest.raises(TypeError):
+        Scope(users=123)
+    with pytest.raises(ValueError):
+        Scope(freq="Q")
+
+
+def test_scope_predicates(spark):
+    df = spark.createDataFrame([("alice",), ("bob",), (None,)], "name string")
+    assert rows(df.where(Scope().user_predicate("name")), "name") == [("alice",), ("bob",)]
+    assert rows(df.where(Scope(users="bob").user_predicate("name")), "name") == [("bob",)]
+    assert rows(df.where(Scope(users=["bob"]).user_predicate("name")), "name") == [("bob",)]
+    assert rows(df.where(Scope(users=["bob", "alice"]).user_predicate("name")), "name") == [("alice",), ("bob",)]
+    assert Scope(users=["a", "b"]).user_sql("n") == "n IN ('a', 'b')"
+    assert Scope(users="o'k").user_sql("n") == "n = 'o''k'"
+
+
+# ---------------------------------------------------------------- functions
+def test_trim_chars_strips_characters_not_a_word(spark):
+    df = spark.createDataFrame([("USD/JPY",), ("BTC/USD",), ("AUD/USD",)], "s string")
+    out = [r[0] for r in df.select(trim_chars(F.col("s"), "USD/|")).collect()]
+    assert out == ["JPY", "BTC", "A"]
+
+
+def test_text_after_slash(spark):
+    df = spark.createDataFrame([("A/B/C",), ("AAPL",), ("BTC/USDT",), (None,)], "s string")
+    assert [r[0] for r in df.select(text_after_slash(F.col("s"))).collect()] == ["B/C", None, "USDT", None]
+
+
+def test_similar_to_underscore_is_one_character(spark):
+    pat = similar_to_regex(["demo", "test_"])
+    df = spark.createDataFrame([("wire in test",), ("latest payout",), ("test\nx",), ("Demo",)], "s string")
+    assert [r[0] for r in df.select(F.col("s").rlike(pat)).collect()] == [False, True, True, False]
+
+
+@pytest.mark.parametrize(
+    "freq,day,label",
+    [
+        ("W-MON", dt.date(2024, 1, 1), dt.date(2024, 1, 8)),
+        ("W-MON", dt.date(2024, 1, 7), dt.date(2024, 1, 8)),
+        ("W-MON", dt.date(2024, 1, 2), dt.date(2024, 1, 8)),
+        ("W-SUN", dt.date(2024, 1, 7), dt.date(2024, 1, 14)),
+        ("W-SUN", dt.date(2024, 1, 6), dt.date(2024, 1, 7)),
+        ("D", dt.date(2024, 1, 6), dt.date(2024, 1, 6)),
+        ("MS", dt.date(2024, 1, 31), dt.date(2024, 1, 1)),
+        ("ME", dt.date(2024, 1, 31), dt.date(2024, 2, 29)),
+        ("ME", dt.date(2024, 1, 30), dt.date(2024, 1, 31)),
+    ],
+)
+def test_period_labels(spark, duck, freq, day, label):
+    from ledgerlens.functions.periods import period_label_sql
+
+    df = spark.createDataFrame([(day,)], "d date")
+    assert df.select(period_label(F.col("d"), freq)).first()[0] == label
+    got = duck.execute(f"SELECT {period_label_sql(f'DATE {chr(39)}{day}{chr(39)}', freq)}").fetchone()[0]
+    assert got == label
+
+
+# ---------------------------------------------------------------- rates (U2, U3)
+def test_fx_first_quote_of_day_and_inversion(spark):
+    t = tables_from_rows(
+        spark,
+        quotes_history=[
+            ("USD/JPY", T(2024, 1, 2, 9), T(2024, 1, 2, 9), D("150")),
+            ("USD/JPY", T(2024, 1, 2, 8), T(2024, 1, 2, 8), D("125")),
+            ("EUR/USD", T(2024, 1, 2, 8), T(2024, 1, 2, 8), D("1.2")),
+            ("EUR/USD", T(2024, 1, 2, 8), T(2024, 1, 2, 8), D("1.1")),
+            ("XRP/USD", T(2024, 1, 2, 8), T(2024, 1, 2, 8), D("0.5")),
+            ("EUR/USD", T(2023, 12, 31, 8), T(2023, 12, 31, 8), D("1.0")),
+        ],
+    )
+    got = rows(rates.fx_daily_rates(t.quotes_history, SCOPE), "transaction_time", "quote_currency", "bid_price")
+    assert got == [(dt.date(2024, 1, 2), "EUR", 1.1), (dt.date(2024, 1, 2), "JPY", 1 / 125.0)]
+
+
+def test_last_quote_null_snapshot_ranks_first(spark):
+    t = tables_from_rows(
+        spark,
+        quotes_history=[
+            ("BTC/USD", None, T(2024, 1, 1), D("1")),
+            ("BTC/USD", None, None, D("2")),
+            ("BTC/USD", None, T(2024, 1, 5), D("3")),
+            ("ETH/USD", None, T(2024, 1, 5), D("4")),
+            ("ETH/USD", None, T(2024, 1, 5), D("5")),
+            ("EUR/USD", None, T(2025, 1, 5), D("6")),
+        ],
+    )
+    got = rows(rates.last_quote(t.quotes_history), "event_symbol", "snapshot_time", "bid_price")
+    assert got == [("BTC/USD", None, 2.0), ("ETH/USD", T(2024, 1, 5), 5.0)]
+
+
+# ---------------------------------------------------------------- cash (U6, U7)
+def _cash_tables(spark, activities, legs, quotes=()):
+    return tables_from_rows(
+        spark,
+        principals=PRINCIPALS,
+        accounts=ACCOUNTS,
+        instruments=INSTRUMENTS,
+        activities=activities,
+        activity_legs=legs,
+        quotes_history=list(quotes),
+    )
+
+
+def _act(i, acct, kind, day, desc="wire", code="CASH"):
+    return (i, acct, i, kind, day, day, desc, code, None)
+
+
+def test_cash_filters_description_action_code_clearing_and_names(spark):
+    d = T(2024, 1, 3, 10)
+    acts = [
+        _act(1, 10, "DEPOSIT", d, "wire in test"),  # kept: 'test' has no following character
+        _act(2, 10, "DEPOSIT", d, "latest payout"),  # 'test ' matches test_
+        _act(3, 10, "DEPOSIT", d, None),  # null description kept
+        _act(4, 10, "DEPOSIT", d, "wire", None),  # null action code dropped
+        _act(5, 10, "DEPOSIT", d, "wire", "X_COMP_1"),  # compensation dropped
+        _act(6, 40, "DEPOSIT", d),  # DEMO account dropped
+        _act(7, 30, "DEPOSIT", d),  # principal without a name dropped
+        _act(8, 10, "TRADE", d),  # not a cash type
+        _act(9, 10, "WITHDRAWAL", T(2023, 12, 31, 23)),  # before date_from
+        _act(10, 20, "FINANCING", d, "Hedge x"),  # dropped
+    ]
+    legs = [(i, 100, D("5.00"), D("1.00"), "CASH", None) for i in range(1, 11)]
+    out = cash.cash_movements(_cash_tables(spark, acts, legs), SCOPE)
+    assert sorted(r["description"] or "" for r in out.collect()) == ["", "wire in test"]
+
+
+def test_cash_duplicate_rows_collapse_and_missing_rate_is_one(spark):
+    d = T(2024, 1, 3, 10)
+    acts = [_act(1, 10, "DEPOSIT", d)]
+    legs = [
+        (1, 101, D("5.00"), D("1.00"), "CASH", None),
+        (1, 101, D("5.00"), D("2.00"), "CASH", None),  # same selected columns: collapses
+        (1, 106, D("7.00"), D("1.00"), "CASH", None),  # AAPL: no rate, converts at 1
+        (1, 103, D("2.00"), D("1.00"), "CASH", None),  # BTC$ -> BTC
+    ]
+    quotes = [("EUR/USD", T(2024, 1, 3, 1), None, D("1.5")), ("BTC/USD", T(2024, 1, 3, 1), None, D("40000"))]
+    out = cash.cash_movements(_cash_tables(spark, acts, legs, quotes), SCOPE)
+    got = rows(out, "quote_currency", "amount", "bid_price", "usd")
+    assert got == [("AAPL", D("7.00"), 1.0, 7.0), ("BTC", D("2.00"), 40000.0, 80000.0), ("EUR/USD", D("5.00"), 1.0, 5.0)]
+
+
+def test_cash_weekly_pivot_totals_equal_rows(spark):
+    acts = [
+        _act(1, 10, "DEPOSIT", T(2024, 1, 1, 10)),
+        _act(2, 10, "DEPOSIT", T(2024, 1, 7, 10)),
+        _act(3, 20, "WITHDRAWAL", T(2024, 1, 8, 10)),
+    ]
+    legs = [(1, 100, D("1.10"), None, "CASH", None), (2, 100, D("2.20"), None, "CASH", None),
+            (3, 100, D("-3.00"), None, "CASH", None)]
+    t = _cash_tables(spark, acts, legs)
+    out = cash.cash_movements_by_period(t, SCOPE).orderBy("transaction_time").collect()
+    assert [(r["transaction_time"], r["DEPOSIT"], r["WITHDRAWAL"], r["FINANCING"]) for r in out] == [
+        (T(2024, 1, 8), 3.3, 0.0, 0.0),
+        (T(2024, 1, 15), 0.0, -3.0, 0.0),
+    ]
+
+
+# ---------------------------------------------------------------- trades (U5)
+def _trade_tables(spark, orders, order_legs, activities=None, legs=None, quotes=()):
+    d = T(2024, 1, 10, 12)
+    activities = activities or [(1, 10, 500, "TRADE", d, d, None, "CASH", "LP")]
+    legs = legs or [(1, 101, D("-2.00"), D("10.00"), "POS_ADJUST", None)]
+    return tables_from_rows(
+        spark,
+        principals=PRINCIPALS,
+        accounts=ACCOUNTS,
+        instruments=INSTRUMENTS,
+        activities=activities,
+        activity_legs=legs,
+        orders=orders,
+        order_legs=order_legs,
+        quotes_history=list(quotes),
+    )
+
+
+def _order(i, params='{"OTHER": 1}', ext="[]", status="COMPLETED", chain=0):
+    d = T(2024, 1, 10, 12)
+    return (i, status, "BUY", d, d, D("3.00000"), chain, params, ext)
+
+
+def test_trade_markup_pnl_and_hedge_legs(spark):
+    ext = ('[{"val": {"PL_SETTLED_IN_TRADE_CURRENCY": 1}}, {"val": {"PL_SETTLED_IN_TRADE_CURRENCY": 2}}, '
+           '{"val": {"PL_SETTLED_IN_TRADE_CURRENCY": 4, "hedgingOrderId": 900}}, '
+           '{"val": {"PL_SETTLED_IN_TRADE_CURRENCY": 8}}]')
+    orders = [_order(500, '{"ORDER_EXEC_STRATEGY_NAME": "FX_STP"}', ext)]
+    order_legs = [(500, "C1", D("11.00"), None), (900, "H", D("9.50"), "OPEN"), (900, "H2", D("8.00"), "OPEN"),
+                  (900, "H3", D("8.00"), "CLOSE")]
+    quotes = [("USD/JPY", T(2024, 1, 10, 1), None, D("0.5"))]  # 2 USD per JPY
+    legs = [(1, 102, D("-2.00"), D("10.00"), "POS_ADJUST", None)]
+    t = _trade_tables(spark, orders, order_legs, legs=legs, quotes=quotes)
+    raw = trades.blotter_rows(t, SCOPE)
+    assert rows(raw, "pnl_3", "pnl_1", "pnl_2", "pnl_4")[0] == tuple(D(x).quantize(D("1.0000000000")) for x in "1248")
+    out = trades.trade_blotter(t, SCOPE)
+    got = rows(out, "markup", "pnl", "volume", "bid_price", "order_symbol")
+    # Two distinct hedge prices -> two rows; (10 - 9.5) * 3 = 1.5 and (10 - 8) * 3 = 6, both times rate 2.
+    # PnL (1 + 2 + 4 + 8) * 2; volume 2 * 11 * 2.
+    assert got == [(3.0, 30.0, 44.0, 2.0, "USD/JPY"), (12.0, 30.0, 44.0, 2.0, "USD/JPY")]
+
+
+def test_trade_opening_order_outcomes_expand_and_collapse(spark):
+    orders = [
+        _order(500, '{"OTHER": 1}', '[{"val": {"hedgingOrderId": 900}}]'),
+        _order(700, '{"ORDER_EXEC_STRATEGY_NAME": "FX_STP"}', chain=77),
+        _order(701, '{"OTHER": 1}', chain=77),
+        _order(702, '{"ORDER_EXEC_STRATEGY_NAME": "FX_STP"}', chain=77),
+        _order(703, '{"ORDER_EXEC_STRATEGY_NAME": "MANUAL"}', chain=77, status="REJECTED"),
+    ]
+    order_legs = [(500, "77", D("11.00"), None), (900, "H", D("9.00"), None)]
+    out = trades.trade_blotter(_trade_tables(spark, orders, order_legs), SCOPE)
+    # chain 77 has a completed FX_STP order and a completed order without strategy:
+    # both outcomes appear once each.
+    assert rows(out, "markup") == [(0.0,), (3.0,)]
+
+
+def test_trade_replacement_keeps_manual_strategy(spark):
+    orders = [_order(500, '{"ORDER_EXEC_STRATEGY_NAME": "MANUAL"}')]
+    order_legs = [(500, "C1", D("11.00"), "MANUAL")]
+    legs = [(1, 102, D("-2.00"), D("10.00"), "POS_ADJUST", None)]
+    out = trades.trade_blotter(_trade_tables(spark, orders, order_legs, legs=legs), SCOPE).first()
+    assert out["order_strategy"] == "MANUAL"
+    assert out["position_effect"] == "FX_STP"  # whole-cell replacement
+    assert out["pair_type"] == "Equities"
+    assert out["markup"] == 0.0  # MANUAL is not the markup strategy
+
+
+def test_trade_date_upper_bound_includes_next_day(spark):
+    def act(i, day):
+        return (i, 10, 500, "TRADE", day, day, None, "CASH", None)
+
+    acts = [act(1, T(2024, 2, 1, 23, 59)), act(2, T(2024, 2, 2, 0, 0)), act(3, T(2023, 12, 31, 23))]
+    legs = [(i, 101, D("-1.00"), D("1.00"), "POS_ADJUST", None) for i in (1, 2, 3)]
+    orders = [_order(500)]
+    out = trades.trade_blotter(_trade_tables(spark, orders, [(500, "C", D("1.00"), None)], acts, legs), SCOPE)
+    assert [r["trade_time"] for r in out.collect()] == [T(2024, 2, 1, 23, 59)]
+
+
+def test_trade_lenient_json(spark):
+    orders = [
+        _order(500, "not json", '[{"val": {"PL_SETTLED_IN_TRADE_CURRENCY": null}}]'),
+        _order(501, '{"ORDER_EXEC_STRATEGY_NAME": null}', "{broken"),
+    ]
+    acts = [(1, 10, 500, "TRADE", T(2024, 1, 10), T(2024, 1, 10), None, "CASH", None),
+            (2, 10, 501, "TRADE", T(2024, 1, 10), T(2024, 1, 10), None, "CASH", None)]
+    legs = [(1, 101, D("-1.00"), D("1.00"), "POS_ADJUST", None), (2, 101, D("-1.00"), D("1.00"), "POS_ADJUST", None)]
+    out = trades.trade_blotter(_trade_tables(spark, orders, [(500, "", D("1.00"), None), (501, "", D("1.00"), None)],
+                                             acts, legs), SCOPE)
+    assert rows(out, "order_id", "pnl", "order_strategy") == [(500, 0.0, None), (501, 0.0, None)]
+
+
+def test_trade_fx_join_keeps_row_count(spark, duck):
+    import __spark_entry__ as E
+
+    t = E._tables(spark, "/root/testdata/sf0.001")
+    raw = trades.blotter_rows(t, E.TEST_SCOPE)
+    assert trades.trade_blotter(t, E.TEST_SCOPE).count() == raw.count()
+
+
+# ---------------------------------------------------------------- positions (U8, U9)
+def _pos_tables(spark, positions_rows, quotes=()):
+    return tables_from_rows(
+        spark,
+        principals=PRINCIPALS,
+        accounts=ACCOUNTS,
+        instruments=INSTRUMENTS,
+        positions=positions_rows,
+        orders=[_order(500)],
+        order_legs=[(500, "P1", D("1.00"), None), (500, "P1", D("2.00"), None), (999, "P9", D("1.00"), None)],
+        quotes_history=list(quotes),
+    )
+
+
+def test_open_positions_zero_quantity_and_semi_join(spark):
+    d = T(2024, 1, 1)
+    pos = [
+        (10, 101, D("2.00"), D("20.00"), "P1", d),
+        (10, 101, D("-2.00"), D("-18.00"), "P1", T(2024, 1, 2)),
+        (10, 101, D("2.00"), D("20.00"), "P1", d),  # duplicate row collapses
+        (10, 102, D("0.00"), D("5.00"), "P1", d),  # zero quantity filtered
+        (10, 103, D("1.00"), D("5.00"), "P9", d),  # order 999 does not exist
+        (20, 103, D("4.00"), D("6.00"), None, d),  # no code
+    ]
+    out = positions.open_positions(_pos_tables(spark, pos), SCOPE)
+    got = rows(out, "user_id", "order_symbol", "quantity", "cost", "position_code", "open_price", "date")
+    assert got == [("alice", "EUR/USD", 0.0, 2.0, ["P1"], None, T(2024, 6, 1))]
+
+
+def test_balances_group_raw_symbol_then_trim(spark):
+    d = T(2024, 1, 1)
+    pos = [
+        (10, 104, D("5.00"), None, None, d),
+        (10, 105, D("7.00"), None, None, d),
+        (10, 103, D("2.00"), None, None, d),
+        (10, 106, D("3.00"), None, None, d),
+        (20, 104, D("-1.00"), None, None, d),  # negative: not a balance
+        (40, 104, D("9.00"), None, None, d),  # DEMO
+    ]
+    quotes = [("BTC/USD", None, T(2024, 1, 1), D("100")), ("BTC/USD", None, T(2024, 1, 2), D("200"))]
+    t = _pos_tables(spark, pos, quotes)
+    assert rows(positions.account_balances(t, SCOPE), "symbol", "balance") == [
+        ("AAPL", 3.0), ("BTC", 2.0), ("USDT", 5.0), ("USDT", 7.0)
+    ]
+    assert rows(positions.balances_usd(t, SCOPE), "user_id", "usd") == [("alice", 2 * 200.0 + 12.0)]
+
+
+def test_balances_excluded_account(spark):
+    pos = [(10, 104, D("5.00"), None, None, T(2024, 1, 1))]
+    t = _pos_tables(spark, pos)
+    assert positions.account_balances(t, Scope(balance_excluded_accounts=(10,))).count() == 0
+
+
+# ---------------------------------------------------------------- sessions (U4)
+def test_login_sessions_inner_and_distinct(spark):
+    t = tables_from_rows(
+        spark,
+        principals=[(1, "alice", T(2023, 3, 1)), (2, "old", T(2023, 1, 1)), (4, "carol", T(2023, 2, 1))],
+        accounts=ACCOUNTS,
+        user_sessions=[(1, T(2024, 1, 1)), (1, T(2024, 1, 1)), (2, T(2024, 1, 1)), (4, T(2024, 1, 2)),
+                       (9, T(2024, 1, 1))],
+    )
+    got = rows(sessions.login_sessions(t, Scope()), "name", "account_code", "date", "expire_at")
+    # alice owns A10 and A40; carol has no account; old was created too early.
+    assert got == [("alice", "A10", T(2023, 3, 1), T(2024, 1, 1)), ("alice", "A40", T(2023, 3, 1), T(2024, 1, 1))]
+
+
+# ---------------------------------------------------------------- payloads (U10-U14)
+def test_categories_follow_their_account(spark):
+    body = (
+        '{"accounts": ['
+        '{"accountCode": "D1", "clearingCode": "DEMO", "categories": [{"category": "SEGMENT", "value": "X"}]},'
+        '{"accountCode": "L1", "clearingCode": "LIVE", "categories": ['
+        '{"category": "SEGMENT", "value": "GOLD"}, {"category": "NATION", "value": "7"},'
+        '{"category": "SEGMENT", "value": "VIP"}]},'
+        '{"accountCode": "L2", "clearingCode": "LIVE", "categories": []}]}'
+    )
+    df = spark.createDataFrame([("u1", body), ("u2", '{"clientId": 3}')], "user_id string, body string")
+    got = rows(payloads.account_categories(df), "accountCode", "NATION", "SEGMENT", "user_id")
+    assert got == [("L1", "7", "GOLD VIP", "u1"), ("L2", None, None, "u1")]
+
+
+def test_metrics_first_element_and_empty(spark):
+    df = spark.createDataFrame(
+        [('{"metrics": [{"account": "A", "equity": 1.5, "balance": 2, "openPL": 0, "totalPL": 3},'
+          ' {"account": "B", "equity": 9}]}',), ('{"metrics": []}',)],
+        "body string",
+    )
+    got = sorted(payloads.account_metrics(df).collect(), key=lambda r: str(r["account"]))
+    assert [tuple(r) for r in got] == [("A", 1.5, 2.0, 0.0, 3.0), (None, None, None, None, None)]
+
+
+def test_position_and_order_payloads_explode(spark):
+    df = spark.createDataFrame(
+        [("A1", '{"positions": [{"positionCode": "p", "symbol": "S", "quantity": 2}]}'),
+         ("A2", '{"positions": []}'), ("A3", "{}")],
+        "account_id string, body string",
+    )
+    assert rows(payloads.payload_positions(df), "account_id", "positionCode", "quantity") == [("A1", "p", 2.0)]
+    od = spark.createDataFrame([("A1", '{"orders": [{"orderCode": "x:1"}, {"orderCode": "x:2"}]}')],
+                               "account_id string, body string")
+    assert rows(payloads.payload_orders(od), "orderCode") == [("x:1",), ("x:2",)]
+
+
+def test_profile_attributes_missing_key_is_null(spark):
+    df = spark.createDataFrame(
+        [('[{"username": "a", "email": "e", "attributes": {"country": ["NL"], "phoneNumber": ["1"]}},'
+          ' {"username": "b", "attributes": {"country": ["DE"]}}]',)],
+        "body string",
+    )
+    got = rows(payloads.profile_attributes(df), "username", "country", "phoneNumber")
+    assert got == [("a", ["NL"], ["1"]), ("b", ["DE"], None)]

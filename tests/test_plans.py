@@ -1,0 +1,70 @@
+"""What Spark will run: no Python in the plan, no cartesian products,
+filters in the scan, bounded broadcasts only."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from ledgerlens.plans.inspect import physical_plan
+from ledgerlens.plans.joins import broadcast_if_bounded
+from tests.conftest import SF_SMALL
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+             "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_and_no_cartesian(spark, name):
+    plan = physical_plan(E.queries()[name](spark, SF_SMALL))
+    for word in FORBIDDEN:
+        assert word not in plan, f"{name}: {word} in plan"
+
+
+def test_fx_rates_are_a_hash_aggregate_with_pushed_dates(spark):
+    plan = physical_plan(E.queries()["fx_daily_rates"](spark, SF_SMALL))
+    assert "SortAggregate" not in plan and "Window" not in plan
+    assert "partial_min_by" in plan
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_last_quote_is_a_hash_aggregate(spark):
+    plan = physical_plan(E.queries()["last_quote"](spark, SF_SMALL))
+    assert "SortAggregate" not in plan and "partial_max_by" in plan
+
+
+def test_rates_broadcast_in_cash_and_trades(spark):
+    for name in ("cash_movements", "trade_blotter"):
+        plan = physical_plan(E.queries()[name](spark, SF_SMALL))
+        assert "BroadcastExchange" in plan and "min_by" in plan
+
+
+def test_trade_date_filter_reaches_scan(spark):
+    plan = physical_plan(E.queries()["trade_blotter"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(o_orderdate,1995-01-01T00:00)" in plan
+    assert "LessThan(o_orderdate,2" in plan  # the scan's filter list is truncated in the text
+    assert "< 2002-01-02 00:00:00" in plan
+
+
+def test_positions_use_semi_joins(spark):
+    plan = physical_plan(E.queries()["open_positions"](spark, SF_SMALL))
+    assert "LeftSemi" in plan
+
+
+def test_weekly_totals_single_aggregate(spark):
+    plan = physical_plan(E.queries()["cash_movements_weekly"](spark, SF_SMALL))
+    assert "Pivot" not in plan and "pivotfirst" not in plan.lower()
+
+
+def test_payload_operators_do_not_shuffle_for_categories(spark):
+    from ledgerlens.operators import payloads
+    from ledgerlens.sources import payloads as docs
+
+    df = payloads.account_categories(docs.client_payloads(spark, SF_SMALL).coalesce(1))
+    assert "Exchange" not in physical_plan(df)
+
+
+def test_broadcast_only_under_bound(spark):
+    df = spark.range(10)
+    assert "broadcast" in str(broadcast_if_bounded(df, 10, 8)._jdf.queryExecution().logical()).lower()
+    big = broadcast_if_bounded(df, 10**12, 64)
+    assert "broadcast" not in str(big._jdf.queryExecution().logical()).lower()
