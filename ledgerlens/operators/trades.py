@@ -7,14 +7,15 @@ Shape of the plan
   self-join of ``orders`` (only to compute a hedge id) becomes a column.
 * The opening-order join (``order_legs.position_code = order_chain_id``)
   fans out over every completed order of the chain, yet all it contributes
-  is whether the resolved strategy is the markup strategy.  The chain side is
-  therefore pre-aggregated to two flags per chain (partial aggregation, so a
-  hot chain is combined map-side) and each trade row is expanded into at most
-  two rows, one per possible outcome.  After the final ``distinct`` this is
-  the same set the fan-out produces, without the fan-out.
+  is whether the resolved strategy is the markup strategy, and only for rows
+  whose own order names no strategy.  The chain side is pre-aggregated to two
+  flags per chain (partial aggregation, so a hot chain is combined map-side),
+  only the rows without a strategy of their own are joined to it, and each
+  is expanded into at most two rows, one per possible outcome.  After the
+  final ``distinct`` this is the same set the fan-out produces.
 * Hedge legs are reduced to distinct ``(order_id, price)`` pairs and joined
-  only for rows whose strategy is the markup strategy; other rows get a
-  markup of 0 whatever the hedge.
+  only to rows whose strategy is the markup strategy; other rows get a
+  markup of 0 whatever the hedge, so they skip that shuffle entirely.
 * ``distinct`` runs on the raw selected columns (JSON text and the four PnL
   slots included) before helpers are dropped, as the result is a set over
   exactly those columns.
@@ -158,7 +159,12 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
     )
     trades = activity_side.join(order_side, F.col("a_order") == F.col("o_id"))
 
-    # --- opening orders: per chain, can the strategy resolve to / away from markup ---
+    # --- strategy outcome: own order first, else the opening orders of the chain ---
+    # Rows whose own order names a strategy never need the chain; only the
+    # rest is shuffled by position code.
+    known = trades.where(F.col("own_strategy").isNotNull()).withColumn(
+        "is_fx", F.col("own_strategy") == MARKUP_STRATEGY
+    )
     chains = (
         t.orders.where(F.col("status") == COMPLETED)
         .select(
@@ -171,22 +177,25 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
             F.bool_or(F.coalesce(F.col("open_strategy") != MARKUP_STRATEGY, F.lit(True))).alias("chain_other"),
         )
     )
-    trades = trades.join(chains, F.col("ol_code") == F.col("chain_code"), "left")
-    outcomes = (
-        F.when(F.col("own_strategy").isNotNull(), F.array(F.col("own_strategy") == MARKUP_STRATEGY))
-        .when(
-            F.col("chain_fx").isNotNull(),
-            F.array_compact(
-                F.array(F.when(F.col("chain_fx"), F.lit(True)), F.when(F.col("chain_other"), F.lit(False)))
-            ),
-        )
-        .otherwise(F.array(F.lit(DEFAULT_STRATEGY == MARKUP_STRATEGY)))
+    outcomes = F.when(
+        F.col("chain_fx").isNotNull(),
+        F.array_compact(F.array(F.when(F.col("chain_fx"), F.lit(True)), F.when(F.col("chain_other"), F.lit(False)))),
+    ).otherwise(F.array(F.lit(DEFAULT_STRATEGY == MARKUP_STRATEGY)))
+    unknown = (
+        trades.where(F.col("own_strategy").isNull())
+        .join(chains, F.col("ol_code") == F.col("chain_code"), "left")
+        .withColumn("is_fx", F.explode(outcomes))
+        .drop("chain_code", "chain_fx", "chain_other")
     )
-    trades = trades.withColumn("is_fx", F.explode(outcomes))
+    resolved = known.unionByName(unknown)
 
-    # --- hedge legs, only where markup is computed ---
+    # --- hedge legs, joined only where markup is computed ---
+    # Other rows get a markup of 0 whatever the hedge; keeping them out of this
+    # join also keeps the default hedge id 0 from becoming one hot key.
     hedges = t.order_legs.select(F.col("order_id").alias("h_order"), F.col("price").alias("h_price")).distinct()
-    trades = trades.join(hedges, F.col("is_fx") & (F.col("hedge_id") == F.col("h_order")), "left")
+    hedged = resolved.where(F.col("is_fx")).join(hedges, F.col("hedge_id") == F.col("h_order"), "left").drop("h_order")
+    unhedged = resolved.where(~F.col("is_fx")).withColumn("h_price", F.lit(None).cast(hedges.schema["h_price"].dataType))
+    trades = hedged.unionByName(unhedged)
     markup = F.when(
         F.col("is_fx"),
         F.coalesce(

@@ -20,7 +20,7 @@ def read_payload_files(spark: SparkSession, path: str, key_col: str = "key") ->
     the shape the payload operators take; parsing happens there, with an
     explicit schema, so malformed documents become nulls instead of failing
     the job."""
-    df = spark.read.option("wholetext", "true").text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select(F.input_file_name().alias(key_col), F.col("value").alias("body"))
 
 
