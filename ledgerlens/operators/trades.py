@@ -7,15 +7,21 @@ Shape of the plan
   self-join of ``orders`` (only to compute a hedge id) becomes a column.
 * The opening-order join (``order_legs.position_code = order_chain_id``)
   fans out over every completed order of the chain, yet all it contributes
-  is whether the resolved strategy is the markup strategy, and only for rows
+  is whether the resolved strategy is the markup strategy, and only for legs
   whose own order names no strategy.  The chain side is pre-aggregated to two
-  flags per chain (partial aggregation, so a hot chain is combined map-side),
-  only the rows without a strategy of their own are joined to it, and each
-  is expanded into at most two rows, one per possible outcome.  After the
-  final ``distinct`` this is the same set the fan-out produces.
-* Hedge legs are reduced to distinct ``(order_id, price)`` pairs and joined
-  only to rows whose strategy is the markup strategy; other rows get a
-  markup of 0 whatever the hedge, so they skip that shuffle entirely.
+  flags per chain (partial aggregation, so a hot chain is combined map-side)
+  and each order leg is expanded into at most two rows, one per possible
+  outcome.  After the final ``distinct`` this is the same set the fan-out
+  produces.
+* Hedge legs are reduced to distinct ``(order_id, price)`` pairs and looked
+  up only for legs whose strategy is the markup strategy; other rows get a
+  markup of 0 whatever the hedge.
+* Both lookups run on the order side (orders x order legs), before it meets
+  the much larger activity side, so the trade set itself is shuffled only
+  for the order-id join and the final ``distinct``.  Legs that skip a lookup
+  carry a salted key that never matches (``plans.joins.lookup_join``), so
+  the default hedge id 0 or a missing position code cannot pile rows into
+  one partition.
 * ``distinct`` runs on the raw selected columns (JSON text and the four PnL
   slots included) before helpers are dropped, as the result is a set over
   exactly those columns.
@@ -34,6 +40,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.dates import on_days
 from ledgerlens.functions.text import text_after_slash
 from ledgerlens.operators.rates import attach_usd_rate, fx_rates_for_join
+from ledgerlens.plans.joins import lookup_join
 from ledgerlens.scope import Scope
 from ledgerlens.sources.fixtures import Tables
 
@@ -117,6 +124,41 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
     )
     order_side = orders.join(legs, F.col("o_id") == F.col("ol_order"))
 
+    # --- strategy outcome: own order first, else the opening orders of the chain ---
+    chains = (
+        t.orders.where(F.col("status") == COMPLETED)
+        .select(
+            F.col("order_chain_id").cast("string").alias("chain_code"),
+            _strategy(F.col("parameters")).alias("open_strategy"),
+        )
+        .groupBy("chain_code")
+        .agg(
+            F.bool_or(F.coalesce(F.col("open_strategy") == MARKUP_STRATEGY, F.lit(False))).alias("chain_fx"),
+            F.bool_or(F.coalesce(F.col("open_strategy") != MARKUP_STRATEGY, F.lit(True))).alias("chain_other"),
+        )
+    )
+    needs_chain = F.col("own_strategy").isNull() & F.col("ol_code").isNotNull()
+    order_side = lookup_join(
+        order_side, chains, needs_chain, F.col("ol_code"), F.col("chain_code"), F.col("o_id").cast("string")
+    )
+    outcomes = (
+        F.when(F.col("own_strategy").isNotNull(), F.array(F.col("own_strategy") == MARKUP_STRATEGY))
+        .when(
+            F.col("chain_fx").isNotNull(),
+            F.array_compact(
+                F.array(F.when(F.col("chain_fx"), F.lit(True)), F.when(F.col("chain_other"), F.lit(False)))
+            ),
+        )
+        .otherwise(F.array(F.lit(DEFAULT_STRATEGY == MARKUP_STRATEGY)))
+    )
+    order_side = order_side.select("*", F.explode(outcomes).alias("is_fx")).drop("chain_code", "chain_fx", "chain_other")
+
+    # --- hedge legs, looked up only where markup is computed ---
+    hedges = t.order_legs.select(F.col("order_id").alias("h_order"), F.col("price").alias("h_price")).distinct()
+    order_side = lookup_join(
+        order_side, hedges, F.col("is_fx"), F.col("hedge_id"), F.col("h_order"), F.col("o_id")
+    ).drop("h_order")
+
     # --- activity side: trade activities in scope, their position legs ---
     acts = t.activities.where(
         (F.col("activity_type") == TRADE_ACTIVITY)
@@ -157,45 +199,8 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
         .join(alegs, F.col("a_id") == F.col("al_activity"))
         .join(instr, F.col("al_instrument") == F.col("i_id"))
     )
-    trades = activity_side.join(order_side, F.col("a_order") == F.col("o_id"))
 
-    # --- strategy outcome: own order first, else the opening orders of the chain ---
-    # Rows whose own order names a strategy never need the chain; only the
-    # rest is shuffled by position code.
-    known = trades.where(F.col("own_strategy").isNotNull()).withColumn(
-        "is_fx", F.col("own_strategy") == MARKUP_STRATEGY
-    )
-    chains = (
-        t.orders.where(F.col("status") == COMPLETED)
-        .select(
-            F.col("order_chain_id").cast("string").alias("chain_code"),
-            _strategy(F.col("parameters")).alias("open_strategy"),
-        )
-        .groupBy("chain_code")
-        .agg(
-            F.bool_or(F.coalesce(F.col("open_strategy") == MARKUP_STRATEGY, F.lit(False))).alias("chain_fx"),
-            F.bool_or(F.coalesce(F.col("open_strategy") != MARKUP_STRATEGY, F.lit(True))).alias("chain_other"),
-        )
-    )
-    outcomes = F.when(
-        F.col("chain_fx").isNotNull(),
-        F.array_compact(F.array(F.when(F.col("chain_fx"), F.lit(True)), F.when(F.col("chain_other"), F.lit(False)))),
-    ).otherwise(F.array(F.lit(DEFAULT_STRATEGY == MARKUP_STRATEGY)))
-    unknown = (
-        trades.where(F.col("own_strategy").isNull())
-        .join(chains, F.col("ol_code") == F.col("chain_code"), "left")
-        .withColumn("is_fx", F.explode(outcomes))
-        .drop("chain_code", "chain_fx", "chain_other")
-    )
-    resolved = known.unionByName(unknown)
-
-    # --- hedge legs, joined only where markup is computed ---
-    # Other rows get a markup of 0 whatever the hedge; keeping them out of this
-    # join also keeps the default hedge id 0 from becoming one hot key.
-    hedges = t.order_legs.select(F.col("order_id").alias("h_order"), F.col("price").alias("h_price")).distinct()
-    hedged = resolved.where(F.col("is_fx")).join(hedges, F.col("hedge_id") == F.col("h_order"), "left").drop("h_order")
-    unhedged = resolved.where(~F.col("is_fx")).withColumn("h_price", F.lit(None).cast(hedges.schema["h_price"].dataType))
-    trades = hedged.unionByName(unhedged)
+    trades = activity_side.join(order_side, F.col("a_order") == F.col("o_id"))
     markup = F.when(
         F.col("is_fx"),
         F.coalesce(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DEFAULT_THRESHOLD = 10 * 1024 * 1024
@@ -34,3 +34,23 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int, row_bytes: int) -> DataFr
     if limit > 0 and max_rows * row_bytes <= limit:
         return F.broadcast(df)
     return df
+
+
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    needed: Column,
+    left_key: Column,
+    right_key: Column,
+    spread: Column,
+) -> DataFrame:
+    """Left join ``right`` only where ``needed`` holds; other rows keep nulls.
+
+    Rows that do not need the lookup would otherwise all share one key (a
+    null or a default value) and land in a single shuffle partition.  They
+    get ``spread`` (same type as ``left_key``, e.g. the row's own id) as join
+    key instead, which distributes them like any other key, and the
+    ``needed`` condition keeps them from matching anything.
+    """
+    key = F.when(needed, left_key).otherwise(spread)
+    return left.join(right, needed & (key == right_key), "left")
