@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 
 def day_start(day: _dt.date) -> Column:
-    """Midnight of ``day`` as a ``timestamp_ntz`` literal."""
-    return F.lit(_dt.datetime(day.year, day.month, day.day))
+    """Midnight of ``day`` as a ``timestamp_ntz`` literal.
+
+    Built from text, so neither the Python process's zone nor the session
+    zone shifts it; against a ``timestamp`` (with zone) column Spark reads it
+    as midnight in the session zone."""
+    return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def on_days(ts: Column, first: _dt.date, last: _dt.date) -> Column:

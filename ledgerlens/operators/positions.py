@@ -80,13 +80,25 @@ def open_positions(t: Tables, scope: Scope) -> DataFrame:
 def _balance_groups(t: Tables, scope: Scope) -> DataFrame:
     """Positive, code-less holdings summed per account, principal and raw
     symbol; the symbol is trimmed of trailing '$' after grouping.  The
-    balance stays an exact decimal."""
-    pos = t.positions.where(
-        (F.col("quantity") != 0)
-        & F.col("code").isNull()
-        & ~F.col("account_id").isin(list(scope.balance_excluded_accounts))
-        & (F.col("quantity") > 0)
-    ).select("account_id", "instrument_id", "quantity")
+    balance stays an exact decimal.
+
+    Positions are first summed per (account, instrument) -- map-side, before
+    any shuffle -- and only those totals meet the account, principal and
+    instrument tables.  A sum distributes over these joins (a duplicated
+    dimension row multiplies a total exactly as it multiplies its rows), so
+    the result is the same while the join input shrinks to one row per
+    holding.
+    """
+    pos = (
+        t.positions.where(
+            (F.col("quantity") != 0)
+            & F.col("code").isNull()
+            & ~F.col("account_id").isin(list(scope.balance_excluded_accounts))
+            & (F.col("quantity") > 0)
+        )
+        .groupBy("account_id", "instrument_id")
+        .agg(F.sum("quantity").alias("quantity"))
+    )
     accts = t.accounts.where(F.col("clearing_code").isin([scope.clearing_code])).select(
         F.col("id").alias("acc_id"), "account_code", F.col("owner_id").alias("acc_owner")
     )
