@@ -42,7 +42,7 @@ def make_tables(dirname, seed):
     _write(dirname, "customer", {
         "c_custkey": pa.array(custkeys.astype("int64")),
         "c_name": pa.array(_maybe_null(rng, [f"Customer#{k:09d}" for k in custkeys], 0.1)),
-        "c_nationkey": pa.array(rng.integers(0, 25, n_c).astype("int32")),
+        "c_nationkey": pa.array(_maybe_null(rng, [int(x) for x in rng.integers(0, 25, n_c)], 0.05), pa.int32()),
         "c_acctbal": pa.array(np.round(rng.uniform(-999, 9999, n_c), 2)),
         "c_mktsegment": pa.array(_maybe_null(rng, list(rng.choice(SEGMENTS, n_c)), 0.05)),
     })
@@ -59,15 +59,16 @@ def make_tables(dirname, seed):
     dates = [day(i) for i in rng.integers(0, 2600, n_o)]
     _write(dirname, "orders", {
         "o_orderkey": pa.array(orderkeys.astype("int64")),
-        "o_custkey": pa.array(rng.choice(custkeys, n_o).astype("int64")),
+        "o_custkey": pa.array(_maybe_null(rng, [int(x) for x in rng.choice(custkeys, n_o)], 0.03), pa.int64()),
         "o_orderstatus": pa.array(_maybe_null(rng, list(rng.choice(["F", "O", "P"], n_o)), 0.05)),
-        "o_totalprice": pa.array(np.round(rng.uniform(100, 500000, n_o), 2)),
+        "o_totalprice": pa.array(_maybe_null(rng, list(np.round(rng.uniform(100, 500000, n_o), 2)), 0.03),
+                                 pa.float64()),
         "o_orderdate": pa.array(_maybe_null(rng, dates, 0.03), pa.timestamp("us")),
         "o_orderpriority": pa.array(_maybe_null(rng, list(rng.choice(PRIORITIES, n_o)), 0.03)),
     })
     _write(dirname, "lineitem", {
         "l_orderkey": pa.array(rng.choice(orderkeys, n_l).astype("int64")),
-        "l_partkey": pa.array(rng.integers(0, n_p + 3, n_l).astype("int64")),
+        "l_partkey": pa.array(_maybe_null(rng, [int(x) for x in rng.integers(0, n_p + 3, n_l)], 0.03), pa.int64()),
         "l_suppkey": pa.array(rng.choice(custkeys, n_l).astype("int64")),
         "l_linenumber": pa.array(rng.integers(1, 5, n_l).astype("int32")),
         "l_quantity": pa.array(_maybe_null(rng, list(rng.integers(0, 50, n_l).astype(float)), 0.03),
@@ -90,7 +91,7 @@ def make_tables(dirname, seed):
     })
 
 
-@pytest.fixture(scope="module", params=[7, 11])
+@pytest.fixture(scope="module", params=[7, 11, 23])
 def random_dir(request, tmp_path_factory):
     d = str(tmp_path_factory.mktemp(f"tables-{request.param}"))
     make_tables(d, request.param)
