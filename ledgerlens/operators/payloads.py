@@ -19,17 +19,24 @@ from pyspark.sql import functions as F
 ACCOUNT_CATEGORIES = ("NATION", "SEGMENT")
 # Profile attribute keys turned into columns.
 PROFILE_ATTRIBUTES = ("country", "phoneNumber")
+# Account and profile fields carried to the output (any JSON value, as text).
+ACCOUNT_FIELDS = ("accountCode", "clearingCode", "currency")
+PROFILE_FIELDS = ("username", "email")
 
-CLIENT_SCHEMA = (
-    "struct<accounts:array<struct<accountCode:string,clearingCode:string,currency:string,"
-    "categories:array<struct<category:string,value:string>>>>>"
-)
+
+def _client_schema(fields: Sequence[str]) -> str:
+    cols = ",".join(f"`{f}`:string" for f in dict.fromkeys([*fields, "clearingCode"]))
+    return f"struct<accounts:array<struct<{cols},categories:array<struct<category:string,value:string>>>>>"
+
+
+def _profiles_schema(fields: Sequence[str]) -> str:
+    cols = ",".join(f"`{f}`:string" for f in fields)
+    return f"array<struct<{cols},attributes:map<string,array<string>>>>"
 METRICS_SCHEMA = (
     "struct<metrics:array<struct<account:string,equity:double,balance:double,openPL:double,totalPL:double>>>"
 )
 POSITIONS_SCHEMA = "struct<positions:array<struct<positionCode:string,symbol:string,quantity:double>>>"
 ORDERS_SCHEMA = "struct<orders:array<struct<orderCode:string,symbol:string,quantity:double>>>"
-PROFILES_SCHEMA = "array<struct<username:string,email:string,attributes:map<string,array<string>>>>"
 
 
 def account_categories(
@@ -38,14 +45,17 @@ def account_categories(
     categories: Sequence[str] = ACCOUNT_CATEGORIES,
     body_col: str = "body",
     user_col: str = "user_id",
+    account_fields: Sequence[str] = ACCOUNT_FIELDS,
 ) -> DataFrame:
     """One row per account with the given clearing code; account fields, one
     column per category (values of a repeated category joined by a space,
-    null when absent) and ``user_id``.  A client without ``accounts`` yields
+    null when absent) and ``user_id``.  ``account_fields`` names the account
+    fields carried along; any JSON value is kept as its text.  A client without ``accounts`` yields
     no rows.  Categories are matched to their own account, never by position
     in a filtered list.
     """
-    parsed = clients.select(F.col(user_col).alias("user_id"), F.from_json(body_col, CLIENT_SCHEMA).alias("c"))
+    schema = _client_schema(account_fields)
+    parsed = clients.select(F.col(user_col).alias("user_id"), F.from_json(body_col, schema).alias("c"))
     acc = parsed.select("user_id", F.explode("c.accounts").alias("a")).where(F.col("a.clearingCode") == clearing_code)
 
     def joined(name: str):
@@ -53,9 +63,7 @@ def account_categories(
         return F.when(F.size(picked) > 0, F.array_join(F.transform(picked, lambda e: e["value"]), " ")).alias(name)
 
     return acc.select(
-        F.col("a.accountCode").alias("accountCode"),
-        F.col("a.clearingCode").alias("clearingCode"),
-        F.col("a.currency").alias("currency"),
+        *[F.col("a").getField(f).alias(f) for f in account_fields],
         *[joined(c) for c in categories],
         "user_id",
     )
@@ -84,13 +92,15 @@ def payload_orders(payloads: DataFrame, key_col: str = "account_id", body_col: s
 
 
 def profile_attributes(
-    payloads: DataFrame, attributes: Sequence[str] = PROFILE_ATTRIBUTES, body_col: str = "body"
+    payloads: DataFrame,
+    attributes: Sequence[str] = PROFILE_ATTRIBUTES,
+    body_col: str = "body",
+    fields: Sequence[str] = PROFILE_FIELDS,
 ) -> DataFrame:
-    """Profile fields plus one list-valued column per attribute key (null when
-    the profile lacks it).  Every profile of every document is kept."""
-    users = payloads.select(F.explode(F.from_json(body_col, PROFILES_SCHEMA)).alias("u"))
+    """Profile ``fields`` plus one list-valued column per attribute key (null
+    when the profile lacks it).  Every profile of every document is kept."""
+    users = payloads.select(F.explode(F.from_json(body_col, _profiles_schema(fields))).alias("u"))
     return users.select(
-        F.col("u.username").alias("username"),
-        F.col("u.email").alias("email"),
+        *[F.col("u").getField(f).alias(f) for f in fields],
         *[F.try_element_at(F.col("u.attributes"), F.lit(a)).alias(a) for a in attributes],
     )

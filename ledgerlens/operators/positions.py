@@ -61,7 +61,8 @@ def open_positions(t: Tables, scope: Scope) -> DataFrame:
         .distinct()
     )
     as_of = F.lit(scope.as_of).cast("timestamp_ntz") if scope.as_of else F.localtimestamp()
-    grouped = rows.groupBy("user_id", "order_symbol").agg(
+    # Groups follow pandas: a null key forms no group.
+    grouped = rows.where(F.col("order_symbol").isNotNull()).groupBy("user_id", "order_symbol").agg(
         F.sum("quantity").cast("double").alias("quantity"),
         F.sum("cost").cast("double").alias("cost"),
         F.array_sort(F.collect_set("position_code")).alias("position_code"),

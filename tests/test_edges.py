@@ -406,3 +406,29 @@ def test_profile_attributes_missing_key_is_null(spark):
     )
     got = rows(payloads.profile_attributes(df), "username", "country", "phoneNumber")
     assert got == [("a", ["NL"], ["1"]), ("b", ["DE"], None)]
+
+
+def test_extra_payload_fields_pass_through(spark):
+    body = ('{"accounts": [{"accountCode": "L1", "clearingCode": "LIVE", "tier": 3, '
+            '"limits": {"max": 5}, "categories": []}]}')
+    df = spark.createDataFrame([("u1", body)], "user_id string, body string")
+    out = payloads.account_categories(df, account_fields=("accountCode", "tier", "limits")).first()
+    assert (out["accountCode"], out["tier"], out["limits"]) == ("L1", "3", '{"max":5}')
+    prof = spark.createDataFrame([('[{"username": "a", "enabled": true, "attributes": {}}]',)], "body string")
+    row = payloads.profile_attributes(prof, fields=("username", "enabled")).first()
+    assert (row["username"], row["enabled"], row["country"]) == ("a", "true", None)
+
+
+def test_positions_null_symbol_forms_no_group(spark):
+    d = T(2024, 1, 1)
+    t = tables_from_rows(
+        spark,
+        principals=PRINCIPALS,
+        accounts=ACCOUNTS,
+        instruments=INSTRUMENTS + [(107, None, "X", "[]")],
+        positions=[(10, 107, D("2.00"), D("20.00"), "P1", d), (10, 101, D("1.00"), D("3.00"), "P1", d)],
+        orders=[_order(500)],
+        order_legs=[(500, "P1", D("1.00"), None)],
+    )
+    got = rows(positions.open_positions(t, SCOPE), "order_symbol", "quantity")
+    assert got == [("EUR/USD", 1.0)]
