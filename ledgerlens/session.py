@@ -12,7 +12,9 @@ def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
 ) -> SparkSession:
-    """Return (or create) a session with the settings the operators assume.
+    """Return (or create) a *local* session with the settings the operators
+    assume (tests, the bench, notebooks).  On a cluster, build the session
+    with cluster-sized settings and call ``configure_session`` on it instead.
 
     * UTC session zone: the fixtures hold wall-clock timestamps
       (``timestamp_ntz``), and date truncation must not shift them.

@@ -235,7 +235,9 @@ _RAW: dict[tuple[str, str], DataFrame] = {}
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:
     """``spark.read.parquet(path)``, reused within one Spark application so
-    repeated queries do not re-list files and re-read footers."""
+    repeated queries do not re-list files and re-read footers.  The driver's
+    test tables never change; a dataset that grows while the application runs
+    should be read with ``spark.read.parquet`` directly."""
     key = (spark.sparkContext.applicationId, path)
     df = _RAW.get(key)
     if df is None:
