@@ -69,7 +69,7 @@ def fx_rates_for_join(quotes: DataFrame, scope: Scope) -> DataFrame:
 
 
 def attach_usd_rate(df: DataFrame, rates: DataFrame, day_col: str, ccy_col: str) -> DataFrame:
-    """Left-join the daily rate; a missing rate counts as 1 USD.
+    """Left-join the daily rate as ``bid_price``; a missing rate counts as 1 USD.
 
     The rate table is unique per (day, currency), so the join never adds rows.
     """
@@ -79,9 +79,7 @@ def attach_usd_rate(df: DataFrame, rates: DataFrame, day_col: str, ccy_col: str)
         F.col("bid_price").alias("_fx_rate"),
     )
     joined = df.join(r, (F.col(day_col) == F.col("_fx_day")) & (F.col(ccy_col) == F.col("_fx_ccy")), "left")
-    return joined.drop("_fx_day", "_fx_ccy").withColumn("bid_price", F.coalesce(F.col("_fx_rate"), F.lit(1.0))).drop(
-        "_fx_rate"
-    )
+    return joined.select(*[F.col(c) for c in df.columns], F.coalesce(F.col("_fx_rate"), F.lit(1.0)).alias("bid_price"))
 
 
 def latest_quotes(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBOLS) -> DataFrame:

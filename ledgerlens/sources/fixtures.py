@@ -246,12 +246,22 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+_VIEWS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def derive_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    source, where, cols = VIEWS[view]
-    df = read_source(spark, f"{sf_dir}/{source}.parquet")
-    if where:
-        df = df.where(where)
-    return df.selectExpr(*[f"{expr.replace("{ts}", SPARK_TS)} AS {name}" for name, expr in cols])
+    """One brokerage view over ``sf_dir``; built once per application, like
+    a catalog table, since a DataFrame is an immutable plan."""
+    key = (spark.sparkContext.applicationId, sf_dir, view)
+    df = _VIEWS.get(key)
+    if df is None:
+        source, where, cols = VIEWS[view]
+        df = read_source(spark, f"{sf_dir}/{source}.parquet")
+        if where:
+            df = df.where(where)
+        df = df.selectExpr(*[f"{expr.replace("{ts}", SPARK_TS)} AS {name}" for name, expr in cols])
+        _VIEWS[key] = df
+    return df
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
