@@ -122,7 +122,10 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
         F.col("price").alias("ol_price"),
         F.col("position_effect").alias("ol_effect"),
     )
-    order_side = orders.join(legs, F.col("o_id") == F.col("ol_order"))
+    # Orders and their legs are both large: always a sort-merge join on the
+    # order id.  Its output stays partitioned by that id through the
+    # broadcast lookups below, so the join with the activity side reuses it.
+    order_side = orders.hint("merge").join(legs, F.col("o_id") == F.col("ol_order"))
 
     # --- strategy outcome: own order first, else the opening orders of the chain ---
     chains = (
