@@ -432,3 +432,22 @@ def test_positions_null_symbol_forms_no_group(spark):
     )
     got = rows(positions.open_positions(t, SCOPE), "order_symbol", "quantity")
     assert got == [("EUR/USD", 1.0)]
+
+
+def test_empty_tables_give_empty_results_with_schema(spark):
+    t = tables_from_rows(spark)
+    expected = {
+        rates.fx_daily_rates(t.quotes_history, SCOPE): ["transaction_time", "quote_currency", "bid_price"],
+        rates.last_quote(t.quotes_history): ["event_symbol", "snapshot_time", "bid_price"],
+        sessions.login_sessions(t, SCOPE): ["name", "account_code", "date", "expire_at"],
+        trades.trade_blotter(t, SCOPE): list(trades.OUTPUT_COLUMNS),
+        cash.cash_movements(t, SCOPE): [*cash.CASH_COLUMNS, "bid_price", "usd"],
+        cash.cash_movements_by_period(t, SCOPE): ["transaction_time", *cash.CASH_ACTIVITY_TYPES],
+        positions.open_positions(t, SCOPE): ["user_id", "order_symbol", "quantity", "cost", "position_code",
+                                             "open_price", "date"],
+        positions.account_balances(t, SCOPE): ["symbol", "user_id", "account_code", "balance"],
+        positions.balances_usd(t, SCOPE): ["user_id", "usd"],
+    }
+    for df, cols in expected.items():
+        assert df.columns == cols
+        assert df.count() == 0
