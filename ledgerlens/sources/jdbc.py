@@ -14,7 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.sources.fixtures import VIEWS, Tables
+from ledgerlens.sources.fixtures import Tables
 
 # Table name inside the trading schema for each ``Tables`` field.
 TRADING_TABLES = {
@@ -96,4 +96,4 @@ def load_jdbc_tables(
     return Tables(**frames)
 
 
-__all__ = ["jdbc_options", "read_jdbc", "load_jdbc_tables", "TRADING_TABLES", "VIEWS"]
+__all__ = ["jdbc_options", "read_jdbc", "load_jdbc_tables", "TRADING_TABLES"]
