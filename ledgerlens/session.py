@@ -18,8 +18,9 @@ def get_session(
 
     * UTC session zone: the fixtures hold wall-clock timestamps
       (``timestamp_ntz``), and date truncation must not shift them.
-    * AQE on, with partition coalescing and skew-join splitting, so one hot
-      account or currency does not pin a whole join to one task.
+    * AQE on, with partition coalescing and skew-join splitting (forced even
+      where a split needs an extra shuffle), so one hot account, order or
+      currency does not pin a whole join to one task.
     * No web UI.
     """
     master = master or os.environ.get("LEDGERLENS_MASTER", "local[*]")
@@ -34,6 +35,7 @@ def get_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         # Target shuffle partition size after AQE coalescing.  Spark's 64 MB
         # default suits a cluster; a laptop-sized input needs small partitions
         # or every stage collapses into one task.
@@ -54,3 +56,9 @@ def configure_session(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Several plans aggregate right after a join on the same key (the trade
+    # blotter's distinct reuses the order-id partitioning).  Without this,
+    # AQE declines to split a hot join key there, because the split needs one
+    # more shuffle for the aggregate; with it, that shuffle is added only
+    # when a skewed partition is actually found.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")

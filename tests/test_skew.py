@@ -77,3 +77,39 @@ def test_aqe_splits_a_hot_join_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_aqe_splits_a_hot_key_before_an_aggregate_on_it(spark):
+    """Join then distinct on keys that include the join key (the trade
+    blotter's shape): the hot order is still split."""
+    from ledgerlens.session import configure_session
+
+    configure_session(spark)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        trades = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("a_order"),
+            (F.col("id") % 5).alias("qty"),
+        )
+        orders = spark.range(30000).select(F.col("id").alias("o_id"), (F.col("id") % 2).alias("side"))
+        out = trades.join(orders, F.col("a_order") == F.col("o_id")).select("a_order", "qty", "side").distinct()
+        got = out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert len(got) == out.count()
+        assert "skew=true" in final.lower()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
