@@ -26,3 +26,25 @@ def test_entry_runs(spark):
 
 def test_oracle_keys_match_queries():
     assert set(E.oracle_sql()) == set(E.queries())
+
+
+SPARK_TO_DUCKDB = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+    "array<string>": "VARCHAR[]",
+}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, duck, name):
+    spark_types = {f.name: f.dataType.simpleString() for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()}
+    assert set(spark_types) == set(duck_types)
+    for col, st in spark_types.items():
+        want = st.upper() if st.startswith("decimal") else SPARK_TO_DUCKDB[st]
+        assert duck_types[col] == want, (col, st, duck_types[col])
