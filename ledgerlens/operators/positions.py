@@ -29,11 +29,13 @@ def open_positions(t: Tables, scope: Scope) -> DataFrame:
 
     Rows are de-duplicated over the selected columns before summing, then
     summed as decimals and cast to double, so totals do not depend on order.
+    The code array is part of the report (every distinct code of the group);
+    it is merged from map-side partial sets, so only distinct codes travel.
     """
-    live_orders = t.orders.select(F.col("id").alias("o_id"))
+    existing_orders = t.orders.select(F.col("id").alias("o_id"))
     codes = (
         t.order_legs.where(F.col("position_code").isNotNull())
-        .join(live_orders, F.col("order_id") == F.col("o_id"), "left_semi")
+        .join(existing_orders, F.col("order_id") == F.col("o_id"), "left_semi")
         .select(F.col("position_code").alias("leg_code"))
         .distinct()
     )
