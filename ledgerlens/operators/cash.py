@@ -56,7 +56,7 @@ def cash_movement_rows(t: Tables, scope: Scope) -> DataFrame:
     accts = t.accounts.where(F.col("clearing_code") == scope.clearing_code).select(
         F.col("id").alias("acc_id"), "account_code", F.col("owner_id").alias("acc_owner")
     )
-    princ = t.principals.where(scope.user_predicate("name")).select(
+    princ = scope.principals(t.principals).select(
         F.col("id").alias("p_id"), F.col("name").alias("user_id")
     )
     instr = t.instruments.select(F.col("id").alias("i_id"), F.col("symbol").alias("i_symbol"))

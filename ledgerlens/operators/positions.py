@@ -44,7 +44,7 @@ def open_positions(t: Tables, scope: Scope) -> DataFrame:
     )
     instr = t.instruments.select(F.col("id").alias("i_id"), F.col("symbol").alias("i_symbol"), "instrument_type")
     accts = t.accounts.select(F.col("id").alias("acc_id"), "account_code", F.col("owner_id").alias("acc_owner"))
-    princ = t.principals.where(scope.user_predicate("name")).select(F.col("id").alias("p_id"), "name")
+    princ = scope.principals(t.principals).select(F.col("id").alias("p_id"), "name")
     rows = (
         pos.join(instr, F.col("instrument_id") == F.col("i_id"))
         .join(accts, F.col("account_id") == F.col("acc_id"))
@@ -105,7 +105,7 @@ def _balance_groups(t: Tables, scope: Scope) -> DataFrame:
     accts = t.accounts.where(F.col("clearing_code").isin([scope.clearing_code])).select(
         F.col("id").alias("acc_id"), "account_code", F.col("owner_id").alias("acc_owner")
     )
-    princ = t.principals.where(scope.user_predicate("name")).select(F.col("id").alias("p_id"), "name")
+    princ = scope.principals(t.principals).select(F.col("id").alias("p_id"), "name")
     instr = t.instruments.select(F.col("id").alias("i_id"), F.col("symbol").alias("raw_symbol"))
     return (
         pos.join(accts, F.col("account_id") == F.col("acc_id"))

@@ -25,9 +25,9 @@ def login_sessions(t: Tables, scope: Scope, created_from: _dt.date = PRINCIPALS_
     input is one row per user and expiry rather than one per login.
     """
     sessions = t.user_sessions.select("user_id", "expire_at").distinct()
-    princ = t.principals.where(
-        (F.col("created_time") >= day_start(created_from)) & scope.user_predicate("name")
-    ).select(F.col("id").alias("p_id"), "name", F.to_date("created_time").alias("p_day"))
+    princ = scope.principals(t.principals.where(F.col("created_time") >= day_start(created_from))).select(
+        F.col("id").alias("p_id"), "name", F.to_date("created_time").alias("p_day")
+    )
     accts = t.accounts.select(F.col("owner_id").alias("acc_owner"), "account_code")
     rows = sessions.join(princ, F.col("user_id") == F.col("p_id")).join(accts, F.col("acc_owner") == F.col("p_id"))
     return rows.select(

@@ -181,7 +181,7 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
         .join(currencies, F.col("currency_id") == F.col("cur_id"), "left_semi")
         .select(F.col("id").alias("acc_id"), "account_code", F.col("owner_id").alias("acc_owner"))
     )
-    princ = t.principals.where(scope.user_predicate("name")).select(
+    princ = scope.principals(t.principals).select(
         F.col("id").alias("p_id"), F.col("name").alias("p_name")
     )
     alegs = t.activity_legs.where(F.col("leg_type") == POSITION_LEG).select(

@@ -11,7 +11,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Account ids left out of the trade blotter and of balances.
@@ -36,7 +36,9 @@ def _as_date(value: str | _dt.date | None, default: _dt.date) -> _dt.date:
 class Scope:
     """Which principals and which days a query covers.
 
-    users:      ``None`` (every named principal), one name, or a non-empty list.
+    users:      ``None`` (every named principal), one name, a non-empty list,
+                or a DataFrame whose first column holds the names (for long
+                lists: a semi join instead of literals in the plan).
     date_from:  first day for trades, cash movements and rates.
     date_to:    last day for trades; the bound is inclusive of the *next*
                 day as well, as the trade query has always done.
@@ -45,7 +47,7 @@ class Scope:
     as_of:      timestamp stamped on open positions (defaults to now).
     """
 
-    users: str | Sequence[str] | None = None
+    users: str | Sequence[str] | DataFrame | None = None
     date_from: str | _dt.date = "2023-03-01"
     date_to: str | _dt.date | None = None
     today: str | _dt.date | None = None
@@ -57,7 +59,7 @@ class Scope:
 
     def __post_init__(self) -> None:
         users = self.users
-        if users is None or isinstance(users, str):
+        if users is None or isinstance(users, (str, DataFrame)):
             pass
         elif isinstance(users, (list, tuple)):
             if len(users) == 0:
@@ -89,7 +91,16 @@ class Scope:
         return max(0, (self.last_rate_day - self.first_day).days + 1)
 
     # ---- predicates --------------------------------------------------------
+    def principals(self, principals: DataFrame, name: str = "name") -> DataFrame:
+        """``principals`` restricted to the scope's users."""
+        if isinstance(self.users, DataFrame):
+            names = self.users.select(F.col(self.users.columns[0]).alias("_scope_name"))
+            return principals.join(names, F.col(name) == F.col("_scope_name"), "left_semi")
+        return principals.where(self.user_predicate(name))
+
     def user_predicate(self, name: Column | str) -> Column:
+        if isinstance(self.users, DataFrame):
+            raise TypeError("a DataFrame of users is applied with Scope.principals, not as a predicate")
         col = F.col(name) if isinstance(name, str) else name
         if self.users is None:
             return col.isNotNull()
@@ -105,6 +116,8 @@ class Scope:
         def q(s: str) -> str:
             return "'" + s.replace("'", "''") + "'"
 
+        if isinstance(self.users, DataFrame):
+            raise TypeError("a DataFrame of users has no SQL literal form")
         if self.users is None:
             return f"{name} IS NOT NULL"
         if isinstance(self.users, str):

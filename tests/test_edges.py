@@ -451,3 +451,18 @@ def test_empty_tables_give_empty_results_with_schema(spark):
     for df, cols in expected.items():
         assert df.columns == cols
         assert df.count() == 0
+
+
+def test_users_as_dataframe_equal_users_as_list(spark):
+    import __spark_entry__ as E
+    from tools_compare import digest
+
+    t = E._tables(spark, "/root/testdata/sf0.001")
+    names = ["Customer#000000003", "Customer#000000010", "Customer#000000042"]
+    as_list = Scope(users=names, date_from="1995-01-01", date_to="2001-12-31")
+    as_frame = Scope(users=spark.createDataFrame([(n,) for n in names], "user string"),
+                     date_from="1995-01-01", date_to="2001-12-31")
+    for op in (cash.cash_movements, trades.trade_blotter, sessions.login_sessions, positions.account_balances):
+        assert digest(op(t, as_frame).toPandas()) == digest(op(t, as_list).toPandas())
+    with pytest.raises(TypeError):
+        as_frame.user_sql("n")
