@@ -39,3 +39,40 @@ def test_trim_chars_equals_python_strip(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [tuple(r) for r in df.select(trim_chars(F.col("s"), "USD/|"), rtrim_chars(F.col("s"), "$")).collect()]
     assert got == [(v.strip("USD/|"), v.rstrip("$")) for v in values]
+
+
+TIMES = st.one_of(
+    st.none(),
+    st.datetimes(min_value=dt.datetime(1, 1, 1), max_value=dt.datetime(9999, 12, 31, 23, 59, 59)),
+)
+PRICES = st.one_of(
+    st.none(),
+    st.decimals(min_value=-(10**10), max_value=10**10, places=7, allow_nan=False, allow_infinity=False),
+)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(TIMES, PRICES), min_size=1, max_size=25))
+def test_time_price_key_orders_like_the_tuple(spark, pairs):
+    from ledgerlens.functions.ordering import NULL_TIME_LAST, time_price_key
+
+    df = spark.createDataFrame(list(enumerate(pairs)), "i int, p struct<t: timestamp_ntz, v: decimal(18,7)>")
+    keyed = df.select(
+        "i",
+        time_price_key(F.col("p.t"), F.col("p.v")).alias("first"),
+        time_price_key(F.col("p.t"), F.col("p.v"), null_time=NULL_TIME_LAST).alias("last"),
+    ).collect()
+
+    def tup(pair, null_time_last):
+        t, v = pair
+        tk = (2 if null_time_last else 0, dt.datetime.min) if t is None else (1, t)
+        vk = (0, 0) if v is None else (1, v)
+        return (tk, vk)
+
+    first = {r["i"]: r["first"] for r in keyed}
+    last = {r["i"]: r["last"] for r in keyed}
+    idx = range(len(pairs))
+    for a in idx:
+        for b in idx:
+            assert (first[a] < first[b]) == (tup(pairs[a], False) < tup(pairs[b], False))
+            assert (last[a] < last[b]) == (tup(pairs[a], True) < tup(pairs[b], True))
