@@ -68,3 +68,27 @@ def test_broadcast_only_under_bound(spark):
     assert "broadcast" in str(broadcast_if_bounded(df, 10, 8)._jdf.queryExecution().logical()).lower()
     big = broadcast_if_bounded(df, 10**12, 64)
     assert "broadcast" not in str(big._jdf.queryExecution().logical()).lower()
+
+
+def test_narrow_scope_gets_runtime_bloom_filters(spark):
+    """A one-user blotter: Spark's runtime bloom filters (on by default for
+    scans over 10 GB; threshold lowered here for the small test tables)
+    prune the large scans to the selected user's rows."""
+    from ledgerlens.operators import trades
+    from ledgerlens.scope import Scope
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "-1")
+    spark.conf.set(keys[1], "1KB")
+    try:
+        one = Scope(users="Customer#000000003", date_from="1995-01-01", date_to="2001-12-31")
+        df = trades.trade_blotter(E._tables(spark, SF_SMALL), one)
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("might_contain") >= 1
+        assert df.count() == trades.trade_blotter(E._tables(spark, SF_SMALL), one).count()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
