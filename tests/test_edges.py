@@ -466,3 +466,16 @@ def test_users_as_dataframe_equal_users_as_list(spark):
         assert digest(op(t, as_frame).toPandas()) == digest(op(t, as_list).toPandas())
     with pytest.raises(TypeError):
         as_frame.user_sql("n")
+
+
+def test_long_user_list_applied_as_semi_join(spark):
+    import ledgerlens.scope as scope_mod
+    from ledgerlens.plans.inspect import physical_plan
+
+    t = tables_from_rows(spark, principals=PRINCIPALS)
+    names = ["alice"] + [f"nobody{i}" for i in range(scope_mod.MAX_LITERAL_USERS + 5)]
+    df = Scope(users=names).principals(t.principals)
+    assert [r["name"] for r in df.collect()] == ["alice"]
+    assert "LeftSemi" in physical_plan(df)
+    short = Scope(users=["alice", "bob"]).principals(t.principals)
+    assert "LeftSemi" not in physical_plan(short)
