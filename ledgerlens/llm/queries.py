@@ -7,9 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import line_dedup, packing, sharding, simhash
+from ledgerlens.llm import (
+    decontamination,
+    line_dedup,
+    masked_lm,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 
 SHARDS = 16
+# Site rules: verdict, host, start of the path (fixed values).
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -22,11 +40,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(read(spark, sf_dir, "documents"))
+
+
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(read(spark, sf_dir, "documents"), shards=SHARDS)
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality_rules.ledger(read(spark, sf_dir, "documents"))
+    return entries.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"),
+        quality_rules.passes(quality_rules.FULL).alias("kept"),
+        F.col("failed").alias("failed_rules"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=3)
     return out.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -46,12 +78,44 @@ def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, rest = token_counts.sentencepiece_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), first, rest)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.col("item").alias("item_id"), F.col("n_frames").cast("long").alias("n_frames"), F.col("best").cast("long").alias("best"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = url_filters.judge(read(spark, sf_dir, "pages"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_masked_lm": op1_masked_lm,
         "op2_shards": op2_shards,
+        "op3_quality_rules": op3_quality_rules,
         "op4_simhash": op4_simhash,
         "op5_packing": op5_packing,
         "op6_line_windows": op6_line_windows,
+        "op7_token_counts": op7_token_counts,
+        "op8_decontamination": op8_decontamination,
+        "op9_url_filter": op9_url_filter,
+        "op10_toxicity": op10_toxicity,
     }
 
 
