@@ -1,10 +1,9 @@
 """Order-independent money totals.
 
 A sum of doubles depends on the order rows arrive in, which differs between
-runs, partitionings and engines.  Totals are therefore taken in whole
-micro-units: each amount is scaled by 10**6 and rounded half away from zero
-*in double arithmetic* (so any engine computing the same IEEE product rounds
-it the same way), summed as an exact ``decimal(38,0)``, and scaled back once.
+runs, partitionings and engines.  Amounts are therefore summed as exact decimals
+per conversion rate and converted once; the few products left are added in a
+stated order.
 """
 
 from __future__ import annotations
@@ -12,18 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_UNIT = 1_000_000
 
+def sum_in_order(amount: Column, *order: str) -> Column:
+    """Aggregate: sum of a double amount, added in the order of the given columns;
+    null without any amount.  Gathers the group's amounts, so groups must be
+    small by construction."""
+    parts = F.array_sort(F.collect_list(F.when(amount.isNotNull(), F.struct(*order, amount.alias("_amount")))))
+    return F.when(F.size(parts) > 0, F.aggregate(parts["_amount"], F.lit(0.0), lambda a, b: a + b))
 
-def to_micros(amount: Column) -> Column:
-    return F.round(amount * F.lit(float(MICROS_PER_UNIT))).cast("decimal(38,0)")
 
-
-def sum_money(amount: Column) -> Column:
-    """Aggregate: total of a double amount, exact to 10**-6, as a double."""
-    return F.sum(to_micros(amount)).cast("double") / F.lit(float(MICROS_PER_UNIT))
-
-
-def sum_money_sql(amount: str) -> str:
+def sum_in_order_sql(amount: str, *order: str) -> str:
     """The same aggregate as DuckDB SQL text."""
-    return f"cast(sum(cast(round({amount} * {MICROS_PER_UNIT}) AS DECIMAL(38,0))) AS DOUBLE) / {MICROS_PER_UNIT}"
+    return f"list_reduce(list({amount} ORDER BY {', '.join(order)}) FILTER ({amount} IS NOT NULL), lambda a, b: a + b)"

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.dates import day_start
-from ledgerlens.functions.money import sum_money
+from ledgerlens.functions.money import sum_in_order
 from ledgerlens.functions.periods import period_label
 from ledgerlens.functions.text import not_similar_or_null, rtrim_chars
 from ledgerlens.operators.rates import attach_usd_rate, fx_rates_for_join
@@ -37,9 +37,9 @@ CASH_COLUMNS = (
 def cash_movement_rows(t: Tables, scope: Scope) -> DataFrame:
     """Distinct cash legs before currency conversion (the SQL part of U6).
 
-    The source query writes left joins, but its WHERE clause rejects nulls
-    from activities, accounts and principals, so those are inner joins here;
-    only the instrument stays a left join.
+    Activity, account and principal must exist, so those are inner joins; only
+    the instrument may be missing.  The scope's principals come first: for a
+    few users the accounts, activities and then legs that are joined are few.
     """
     acts = t.activities.where(
         F.col("activity_type").isin(list(CASH_ACTIVITY_TYPES))
@@ -63,9 +63,9 @@ def cash_movement_rows(t: Tables, scope: Scope) -> DataFrame:
     legs = t.activity_legs.select("activity_id", "instrument_id", F.col("quantity").alias("amount"))
 
     rows = (
-        legs.join(acts, F.col("activity_id") == F.col("a_id"))
-        .join(accts, F.col("a_account") == F.col("acc_id"))
-        .join(princ, F.col("acc_owner") == F.col("p_id"))
+        princ.join(accts, F.col("acc_owner") == F.col("p_id"))
+        .join(acts, F.col("a_account") == F.col("acc_id"))
+        .join(legs, F.col("activity_id") == F.col("a_id"))
         .join(instr, F.col("instrument_id") == F.col("i_id"), "left")
     )
     return rows.select(
@@ -113,21 +113,21 @@ def cash_movements_by_period(
     """USD totals per period label and activity type, one column per type (U7).
 
     Only periods with at least one movement appear; an absent type is 0.
-    Written as one conditional aggregate, so a single shuffle (with map-side
-    partial sums) produces the pivoted table.  Totals are exact sums of
-    micro-units (``functions.money``), so they do not depend on row order.
+    Amounts are summed as exact decimals per day and rate, partially before
+    the shuffle; each sum is converted once.  A period holds one such product per day
+    and currency rate at most, and they are added in that order.  So totals
+    neither lose small amounts nor depend on the order of rows.
     """
     moves = cash_movements(t, scope)
-    label = period_label(F.to_date("transaction_time"), scope.freq)
-    sums = [
-        F.coalesce(sum_money(F.when(F.col("activity_type") == a, F.col("usd"))), F.lit(0.0)).alias(a)
-        for a in activity_types
-    ]
+    day = F.to_date("transaction_time")
+    sums = [F.sum(F.when(F.col("activity_type") == a, F.col("amount"))).alias(a) for a in activity_types]
+    daily = moves.where(day.isNotNull()).groupBy(day.alias("day"), "bid_price").agg(*sums)
+    usd = [(F.col(a).cast("double") * F.col("bid_price")).alias(a) for a in activity_types]
+    daily = daily.select(period_label(F.col("day"), scope.freq).alias("period"), "day", "bid_price", *usd)
+    totals = [F.coalesce(sum_in_order(F.col(a), "day", "bid_price"), F.lit(0.0)).alias(a) for a in activity_types]
     return (
-        moves.select(label.alias("period"), "activity_type", "usd")
-        .where(F.col("period").isNotNull())
-        .groupBy("period")
-        .agg(*sums)
+        daily.groupBy("period")
+        .agg(*totals)
         .select(F.col("period").cast("timestamp_ntz").alias("transaction_time"), *activity_types)
     )
 

@@ -6,37 +6,56 @@ leaves the JVM.  Per-account category pivots are computed inside the row
 with higher-order functions (``filter`` / ``transform`` over the account's
 own ``categories`` array), so they need no shuffle at all, and a category
 repeated within an account is joined with a space in its listed order.
+
+Nothing in a document is lost: named fields become (typed) columns, and all others,
+as well as named values that don't have the field's type, go to a map column.
+Documents that are no JSON at all are ``unparseable``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Category names turned into columns, in column order.
 ACCOUNT_CATEGORIES = ("NATION", "SEGMENT")
 # Profile attribute keys turned into columns.
 PROFILE_ATTRIBUTES = ("country", "phoneNumber")
-# Account and profile fields carried to the output (any JSON value, as text).
+# Named fields with their types; every other field goes to the map ``other``.
 ACCOUNT_FIELDS = ("accountCode", "clearingCode", "currency")
 PROFILE_FIELDS = ("username", "email")
+METRICS_FIELDS = {"account": "string", "equity": "double", "balance": "double", "openPL": "double", "totalPL": "double"}
+POSITION_FIELDS = {"positionCode": "string", "symbol": "string", "quantity": "double"}
+ORDER_FIELDS = {"orderCode": "string", "symbol": "string", "quantity": "double"}
+
+_OBJECT = "map<string,string>"  # nested values stay JSON text
+
+
+def _value(obj: Column, name: str, kind: str = "string") -> Column:
+    raw = F.try_element_at(obj, F.lit(name))
+    return (raw if kind == "string" else raw.try_cast(kind)).alias(name)
+
+
+def _other(obj: Column, fields: Mapping[str, str], *used: str) -> Column:
+    """The entries of ``obj`` that no column shows: unnamed ones, and named ones
+    whose text doesn't have the column's type."""
 
+    def hidden(key: Column, value: Column) -> Column:
+        out = ~key.isin([*fields, *used])
+        for name, kind in fields.items():
+            if kind != "string":
+                out = out | ((key == name) & value.isNotNull() & value.try_cast(kind).isNull())
+        return out
 
-def _client_schema(fields: Sequence[str]) -> str:
-    cols = ",".join(f"`{f}`:string" for f in dict.fromkeys([*fields, "clearingCode"]))
-    return f"struct<accounts:array<struct<{cols},categories:array<struct<category:string,value:string>>>>>"
+    return F.map_filter(obj, hidden).alias("other")
 
 
-def _profiles_schema(fields: Sequence[str]) -> str:
-    cols = ",".join(f"`{f}`:string" for f in fields)
-    return f"array<struct<{cols},attributes:map<string,array<string>>>>"
-METRICS_SCHEMA = (
-    "struct<metrics:array<struct<account:string,equity:double,balance:double,openPL:double,totalPL:double>>>"
-)
-POSITIONS_SCHEMA = "struct<positions:array<struct<positionCode:string,symbol:string,quantity:double>>>"
-ORDERS_SCHEMA = "struct<orders:array<struct<orderCode:string,symbol:string,quantity:double>>>"
+def unparseable(payloads: DataFrame, body_col: str = "body") -> DataFrame:
+    """The rows whose document is null or no JSON, as they are: no other
+    operator has rows for them."""
+    return payloads.where(F.try_parse_json(F.col(body_col)).isNull())
 
 
 def account_categories(
@@ -47,48 +66,63 @@ def account_categories(
     user_col: str = "user_id",
     account_fields: Sequence[str] = ACCOUNT_FIELDS,
 ) -> DataFrame:
-    """One row per account with the given clearing code; account fields, one
-    column per category (values of a repeated category joined by a space,
-    null when absent) and ``user_id``.  ``account_fields`` names the account
-    fields carried along; any JSON value is kept as its text.  A client without ``accounts`` yields
-    no rows.  Categories are matched to their own account, never by position
-    in a filtered list.
+    """One row per account with the given clearing code: account fields, one
+    column per category (values of a repeated category joined by a space, null when
+    absent), ``user_id``, the map ``other_categories`` (all others, joined alike) and
+    the map ``other`` of further account fields.  Any JSON value is kept as its
+    text.  A client without ``accounts`` yields no rows.  Categories are matched to
+    their own account, never by position in a filtered list.
     """
-    schema = _client_schema(account_fields)
-    parsed = clients.select(F.col(user_col).alias("user_id"), F.from_json(body_col, schema).alias("c"))
-    acc = parsed.select("user_id", F.explode("c.accounts").alias("a")).where(F.col("a.clearingCode") == clearing_code)
+    parsed = clients.select(F.col(user_col).alias("user_id"), F.from_json(body_col, f"struct<accounts:array<{_OBJECT}>>").alias("c"))
+    acc = parsed.select("user_id", F.explode("c.accounts").alias("a")).where(
+        F.try_element_at("a", F.lit("clearingCode")) == clearing_code
+    )
+    listed = F.from_json(F.try_element_at("a", F.lit("categories")), "array<struct<category:string,value:string>>")
+    acc = acc.select("user_id", "a", listed.alias("l"))
 
-    def joined(name: str):
-        picked = F.filter("a.categories", lambda e: e["category"] == name)
-        return F.when(F.size(picked) > 0, F.array_join(F.transform(picked, lambda e: e["value"]), " ")).alias(name)
+    def joined(name: str | Column) -> Column:
+        picked = F.filter("l", lambda e: e["category"] == name)
+        return F.when(F.size(picked) > 0, F.array_join(F.transform(picked, lambda e: e["value"]), " "))
 
+    names = F.array_distinct(F.filter(F.transform("l", lambda e: e["category"]), lambda n: n.isNotNull() & ~n.isin(list(categories))))
+    others = F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("key"), joined(n).alias("value"))))
     return acc.select(
-        *[F.col("a").getField(f).alias(f) for f in account_fields],
-        *[joined(c) for c in categories],
+        *[_value(F.col("a"), f) for f in account_fields],
+        *[joined(c).alias(c) for c in categories],
         "user_id",
+        F.coalesce(others, F.create_map().cast(_OBJECT)).alias("other_categories"),
+        _other(F.col("a"), dict.fromkeys(account_fields, "string"), "categories"),
     )
 
 
-def account_metrics(payloads: DataFrame, body_col: str = "body") -> DataFrame:
-    """``account, equity, balance, openPL, totalPL`` from the first element of
-    ``metrics``; all null when the list is empty."""
-    first = F.try_element_at(F.from_json(body_col, METRICS_SCHEMA)["metrics"], F.lit(1))
-    return payloads.select(*[first[f].alias(f) for f in ("account", "equity", "balance", "openPL", "totalPL")])
+def account_metrics(payloads: DataFrame, body_col: str = "body", key_col: str = "account_id") -> DataFrame:
+    """``account_id`` (the document's key), the metrics fields and the map ``other``
+    from the first element of ``metrics``; all but the key null when the list is
+    empty."""
+    first = F.try_element_at(F.from_json(body_col, f"struct<metrics:array<{_OBJECT}>>")["metrics"], F.lit(1))
+    rows = payloads.select(F.col(key_col).alias("account_id"), first.alias("m"))
+    return rows.select("account_id", *[_value(F.col("m"), f, k) for f, k in METRICS_FIELDS.items()], _other(F.col("m"), METRICS_FIELDS))
 
 
-def _explode_list(payloads: DataFrame, schema: str, field: str, key_col: str, body_col: str) -> DataFrame:
-    items = F.from_json(body_col, schema)[field]
-    return payloads.select(key_col, F.explode(items).alias("e")).select(key_col, "e.*")
+def _explode_list(payloads: DataFrame, field: str, fields: Mapping[str, str], key_col: str, body_col: str) -> DataFrame:
+    items = F.from_json(body_col, f"struct<{field}:array<{_OBJECT}>>")[field]
+    rows = payloads.select(key_col, F.explode(items).alias("e"))
+    return rows.select(key_col, *[_value(F.col("e"), f, k) for f, k in fields.items()], _other(F.col("e"), fields))
 
 
-def payload_positions(payloads: DataFrame, key_col: str = "account_id", body_col: str = "body") -> DataFrame:
-    """One row per element of ``positions``; an empty list gives no rows."""
-    return _explode_list(payloads, POSITIONS_SCHEMA, "positions", key_col, body_col)
+def payload_positions(
+    payloads: DataFrame, key_col: str = "account_id", body_col: str = "body", fields: Mapping[str, str] = POSITION_FIELDS
+) -> DataFrame:
+    """One row per element of ``positions``: named ``fields`` and the map ``other``;
+    an empty list gives no rows."""
+    return _explode_list(payloads, "positions", fields, key_col, body_col)
 
 
-def payload_orders(payloads: DataFrame, key_col: str = "account_id", body_col: str = "body") -> DataFrame:
-    """One row per pending order (element of ``orders``)."""
-    return _explode_list(payloads, ORDERS_SCHEMA, "orders", key_col, body_col)
+def payload_orders(
+    payloads: DataFrame, key_col: str = "account_id", body_col: str = "body", fields: Mapping[str, str] = ORDER_FIELDS
+) -> DataFrame:
+    """One row per pending order (element of ``orders``), columns alike."""
+    return _explode_list(payloads, "orders", fields, key_col, body_col)
 
 
 def profile_attributes(
@@ -97,10 +131,20 @@ def profile_attributes(
     body_col: str = "body",
     fields: Sequence[str] = PROFILE_FIELDS,
 ) -> DataFrame:
-    """Profile ``fields`` plus one list-valued column per attribute key (null
-    when the profile lacks it).  Every profile of every document is kept."""
-    users = payloads.select(F.explode(F.from_json(body_col, _profiles_schema(fields))).alias("u"))
+    """Profile ``fields``, one list-valued column per attribute key (null when the
+    profile lacks it), the map ``other_attributes`` of all other lists, and the
+    map ``other`` of further fields.  Every profile of every document is kept."""
+    users = payloads.select(F.explode(F.from_json(body_col, f"array<{_OBJECT}>")).alias("u"))
+    lists = F.from_json(F.try_element_at("u", F.lit("attributes")), "map<string,array<string>>")
+    users = users.select("u", F.coalesce(lists, F.create_map().cast("map<string,array<string>>")).alias("l"))
     return users.select(
-        *[F.col("u").getField(f).alias(f) for f in fields],
-        *[F.try_element_at(F.col("u.attributes"), F.lit(a)).alias(a) for a in attributes],
+        *[_value(F.col("u"), f) for f in fields],
+        *[F.try_element_at("l", F.lit(a)).alias(a) for a in attributes],
+        F.map_filter("l", lambda k, v: ~k.isin(list(attributes))).alias("other_attributes"),
+        _other(F.col("u"), dict.fromkeys(fields, "string"), "attributes"),
     )
+
+
+def maps_as_json(df: DataFrame) -> DataFrame:
+    """Map columns as JSON text, for comparison with other engines."""
+    return df.select(*[F.to_json(c).alias(c) if t.startswith("map") else F.col(c) for c, t in df.dtypes])

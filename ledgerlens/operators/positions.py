@@ -17,38 +17,21 @@ CRYPTO_QUOTES = {"BTC": "BTC/USD", "ETH": "ETH/USD"}
 USD_PEGGED = "USDT"
 
 
-def open_positions(t: Tables, scope: Scope) -> DataFrame:
-    """Per ``(user_id, order_symbol)``: summed quantity and cost, the sorted
-    distinct position codes, ``open_price = cost / quantity`` (null when the
-    net quantity is 0) and the ``date`` stamp (``scope.as_of``, else now).
+def _open_rows(t: Tables, scope: Scope) -> DataFrame:
+    """Distinct open positions in scope.
 
-    The source joins ``order_legs`` and ``orders`` only to require that some
-    order leg carries the position's code; they contribute no column.  That is
-    a semi join, written as one: the leg codes are reduced to distinct values
-    first (map-side), so a code shared by many legs costs one row.
-
-    Rows are de-duplicated over the selected columns before summing, then
-    summed as decimals and cast to double, so totals do not depend on order.
-    The code array is part of the report (every distinct code of the group);
-    it is merged from map-side partial sets, so only distinct codes travel.
+    Order legs and orders only have to exist for a position's code: a semi join.
+    The scope is applied to the positions before, and the leg codes are restricted to
+    theirs before they are made distinct, so a few users cost few codes.
     """
-    existing_orders = t.orders.select(F.col("id").alias("o_id"))
-    codes = (
-        t.order_legs.where(F.col("position_code").isNotNull())
-        .join(existing_orders, F.col("order_id") == F.col("o_id"), "left_semi")
-        .select(F.col("position_code").alias("leg_code"))
-        .distinct()
-    )
-    pos = t.positions.where(F.col("code").isNotNull() & (F.col("quantity") != 0)).join(
-        codes, F.col("code") == F.col("leg_code"), "left_semi"
-    )
+    pos = t.positions.where(F.col("code").isNotNull() & (F.col("quantity") != 0))
     instr = t.instruments.select(F.col("id").alias("i_id"), F.col("symbol").alias("i_symbol"), "instrument_type")
     accts = t.accounts.select(F.col("id").alias("acc_id"), "account_code", F.col("owner_id").alias("acc_owner"))
     princ = scope.principals(t.principals).select(F.col("id").alias("p_id"), "name")
-    rows = (
-        pos.join(instr, F.col("instrument_id") == F.col("i_id"))
-        .join(accts, F.col("account_id") == F.col("acc_id"))
-        .join(princ, F.col("acc_owner") == F.col("p_id"))
+    held = (
+        princ.join(accts, F.col("acc_owner") == F.col("p_id"))
+        .join(pos, F.col("account_id") == F.col("acc_id"))
+        .join(instr, F.col("instrument_id") == F.col("i_id"))
         .select(
             F.col("name").alias("user_id"),
             "account_code",
@@ -62,19 +45,48 @@ def open_positions(t: Tables, scope: Scope) -> DataFrame:
         )
         .distinct()
     )
+    existing_orders = t.orders.select(F.col("id").alias("o_id"))
+    codes = (
+        t.order_legs.where(F.col("position_code").isNotNull())
+        .join(existing_orders, F.col("order_id") == F.col("o_id"), "left_semi")
+        .select(F.col("position_code").alias("leg_code"))
+        .distinct()
+    )
+    return held.join(codes, F.col("position_code") == F.col("leg_code"), "left_semi")
+
+
+def open_position_codes(t: Tables, scope: Scope) -> DataFrame:
+    """The distinct ``(user_id, order_symbol, position_code)`` of open positions,
+    one row per code: for pairs with more codes than one array should hold."""
+    rows = _open_rows(t, scope).where(F.col("order_symbol").isNotNull())
+    return rows.select("user_id", "order_symbol", "position_code").distinct()
+
+
+def open_positions(t: Tables, scope: Scope, codes: bool = True) -> DataFrame:
+    """Per ``(user_id, order_symbol)``: summed quantity and cost, the sorted
+    distinct position codes, ``open_price = cost / quantity`` (null when the
+    net quantity is 0) and the ``date`` stamp (``scope.as_of``, else now).
+
+    Rows are de-duplicated over the selected columns before summing, then
+    summed as decimals and cast to double, so totals do not depend on order.
+    The code array holds every distinct code of the group in one row; with
+    ``codes=False`` it is left out, and ``open_position_codes`` gives the codes as
+    rows of any number.
+    """
+    rows = _open_rows(t, scope)
     as_of = F.lit(scope.as_of).cast("timestamp_ntz") if scope.as_of else F.localtimestamp()
     # Groups follow pandas: a null key forms no group.
     grouped = rows.where(F.col("order_symbol").isNotNull()).groupBy("user_id", "order_symbol").agg(
         F.sum("quantity").cast("double").alias("quantity"),
         F.sum("cost").cast("double").alias("cost"),
-        F.array_sort(F.collect_set("position_code")).alias("position_code"),
+        *([F.array_sort(F.collect_set("position_code")).alias("position_code")] if codes else []),
     )
     return grouped.select(
         "user_id",
         "order_symbol",
         "quantity",
         "cost",
-        "position_code",
+        *(["position_code"] if codes else []),
         F.try_divide(F.col("cost"), F.when(F.col("quantity") != 0, F.col("quantity"))).alias("open_price"),
         as_of.alias("date"),
     )
@@ -94,8 +106,7 @@ def _balance_groups(t: Tables, scope: Scope) -> DataFrame:
     """
     pos = (
         t.positions.where(
-            (F.col("quantity") != 0)
-            & F.col("code").isNull()
+            F.col("code").isNull()
             & ~F.col("account_id").isin(list(scope.balance_excluded_accounts))
             & (F.col("quantity") > 0)
         )
@@ -137,19 +148,18 @@ def balances_usd(t: Tables, scope: Scope) -> DataFrame:
     USDT at 1, every other symbol at 0.  Columns ``user_id, usd``.
 
     Prices come from the latest-quote operator; that table has at most one row
-    per listed symbol, so it is broadcast on that bound.  Products and sums are
-    exact decimals, cast to double once at the end.
+    per listed symbol, so it is broadcast on that bound.  Balances are summed as
+    exact decimals per user and symbol, multiplied once by the price (as doubles),
+    and the terms are added in a fixed order: BTC, ETH, USDT.
     """
     quotes = latest_quotes(t.quotes_history, tuple(CRYPTO_QUOTES.values()))
     mapping = F.create_map(*[x for k, v in CRYPTO_QUOTES.items() for x in (F.lit(v), F.lit(k))])
-    prices = quotes.select(mapping[F.col("event_symbol")].alias("q_symbol"), F.col("bid_price").alias("q_price"))
+    prices = quotes.select(mapping[F.col("event_symbol")].alias("q_symbol"), F.col("bid_price").cast("double").alias("q_price"))
     prices = broadcast_if_bounded(prices, len(CRYPTO_QUOTES), 64)
     priced = _balance_groups(t, scope).join(prices, F.col("symbol") == F.col("q_symbol"), "left")
-    money = F.col("balance").cast("decimal(18,2)")
-    zero = F.lit(0).cast("decimal(27,9)")
-    usd = (
-        F.when(F.col("symbol").isin(list(CRYPTO_QUOTES)), F.coalesce(money * F.col("q_price"), zero))
-        .when(F.col("symbol") == USD_PEGGED, money.cast("decimal(27,9)"))
-        .otherwise(zero)
-    )
-    return priced.groupBy("user_id").agg(F.sum(usd).cast("double").alias("usd"))
+    held = {c: F.sum(F.when(F.col("symbol") == c, F.col("balance"))).cast("double") for c in (*CRYPTO_QUOTES, USD_PEGGED)}
+    terms = [held[c] * F.max(F.when(F.col("symbol") == c, F.col("q_price"))) for c in CRYPTO_QUOTES] + [held[USD_PEGGED]]
+    usd = F.lit(0.0)
+    for term in terms:
+        usd = usd + F.coalesce(term, F.lit(0.0))
+    return priced.groupBy("user_id").agg(usd.alias("usd"))

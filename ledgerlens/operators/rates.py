@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.dates import on_days
-from ledgerlens.functions.ordering import NULL_TIME_LAST, time_price_key
+from ledgerlens.functions.ordering import NULL_TIME_LAST, order_key
 from ledgerlens.functions.text import trim_chars
 from ledgerlens.plans.joins import broadcast_if_bounded
 from ledgerlens.scope import Scope
@@ -51,7 +51,7 @@ def fx_daily_rates(quotes: DataFrame, scope: Scope) -> DataFrame:
             F.to_date("bid_time").alias("transaction_time"),
             trim_chars(F.col("event_symbol"), PAIR_TRIM_CHARS).alias("quote_currency"),
             rate.alias("rate"),
-            time_price_key(F.col("bid_time"), F.col("bid_price")).alias("k"),
+            order_key(q, "bid_time", "bid_price").alias("k"),
         )
         .groupBy("transaction_time", "quote_currency")
         .agg(F.min_by("rate", "k").alias("bid_price"))
@@ -91,7 +91,7 @@ def latest_quotes(quotes: DataFrame, symbols: tuple[str, ...] = LAST_QUOTE_SYMBO
     partition through the shuffle, however hot the symbol is.
     """
     q = quotes.where(F.col("event_symbol").isin(list(symbols)))
-    k = time_price_key(F.col("snapshot_time"), F.col("bid_price"), null_time=NULL_TIME_LAST)
+    k = order_key(q, "snapshot_time", "bid_price", null_time=NULL_TIME_LAST)
     return q.groupBy("event_symbol").agg(
         F.max_by("snapshot_time", k).alias("snapshot_time"),
         F.max_by("bid_price", k).alias("bid_price"),

@@ -19,9 +19,9 @@ Shape of the plan
 * Both lookups run on the order side (orders x order legs), before it meets
   the much larger activity side, so the trade set itself is shuffled only
   for the order-id join and the final ``distinct``.  Legs that skip a lookup
-  carry a salted key that never matches (``plans.joins.lookup_join``), so
-  the default hedge id 0 or a missing position code cannot pile rows into
-  one partition.
+  carry their order id as a key that never matches, and the default hedge id 0,
+  which markup legs without a hedge share, is split over salted keys with the
+  legs of order 0 repeated for each (``plans.joins.lookup_join``).
 * ``distinct`` runs on the raw selected columns (JSON text and the four PnL
   slots included) before helpers are dropped, as the result is a set over
   exactly those columns.
@@ -122,10 +122,7 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
         F.col("price").alias("ol_price"),
         F.col("position_effect").alias("ol_effect"),
     )
-    # Orders and their legs are both large: always a sort-merge join on the
-    # order id.  Its output stays partitioned by that id through the
-    # broadcast lookups below, so the join with the activity side reuses it.
-    order_side = orders.hint("merge").join(legs, F.col("o_id") == F.col("ol_order"))
+    order_side = orders.join(legs, F.col("o_id") == F.col("ol_order"))
 
     # --- strategy outcome: own order first, else the opening orders of the chain ---
     chains = (
@@ -159,7 +156,7 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
     # --- hedge legs, looked up only where markup is computed ---
     hedges = t.order_legs.select(F.col("order_id").alias("h_order"), F.col("price").alias("h_price")).distinct()
     order_side = lookup_join(
-        order_side, hedges, F.col("is_fx"), F.col("hedge_id"), F.col("h_order"), F.col("o_id")
+        order_side, hedges, F.col("is_fx"), F.col("hedge_id"), F.col("h_order"), F.col("o_id"), hot=F.lit(0)
     ).drop("h_order")
 
     # --- activity side: trade activities in scope, their position legs ---
@@ -204,10 +201,16 @@ def blotter_rows(t: Tables, scope: Scope) -> DataFrame:
     )
 
     trades = activity_side.join(order_side, F.col("a_order") == F.col("o_id"))
+
+    def exact(name: str, digits: int = 19):
+        # Nine decimals: the product then keeps all of its 18 (20 + 17 + 1
+        # digits) and is rounded once, whatever the tables' decimal types.
+        return F.col(name).cast(f"decimal({digits},9)")
+
     markup = F.when(
         F.col("is_fx"),
         F.coalesce(
-            F.round(F.abs((F.col("al_price") - F.col("h_price")) * F.col("filled_quantity")), 5),
+            F.round(F.abs((exact("al_price") - exact("h_price")) * exact("filled_quantity", 17)), 5),
             F.lit(0).cast("decimal(38,5)"),
         ),
     ).otherwise(F.lit(0).cast("decimal(38,5)"))

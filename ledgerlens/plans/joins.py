@@ -43,6 +43,8 @@ def lookup_join(
     left_key: Column,
     right_key: Column,
     spread: Column,
+    hot: Column | None = None,
+    salts: int = 64,
 ) -> DataFrame:
     """Left join ``right`` only where ``needed`` holds; other rows keep nulls.
 
@@ -51,6 +53,20 @@ def lookup_join(
     get ``spread`` (same type as ``left_key``, e.g. the row's own id) as join
     key instead, which distributes them like any other key, and the
     ``needed`` condition keeps them from matching anything.
+
+    ``hot`` names a key value that many rows that do need the lookup share; it is
+    split over ``salts`` keys, on both sides, whatever rows it matches.
     """
     key = F.when(needed, left_key).otherwise(spread)
-    return left.join(right, needed & (key == right_key), "left")
+    if hot is None:
+        return left.join(right, needed & (key == right_key), "left")
+    # One key value is known to be common: its rows go to ``salts`` keys by
+    # ``spread``, and the few right rows of that value are repeated for each.
+    names = left.columns
+    salt = F.when(needed & (left_key == hot), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0))
+    left = left.withColumns({"_key": key, "_needed": needed, "_salt": salt.cast("int")})
+    each = F.when(right_key == hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = right.select(*right.columns, right_key.alias("_right"), F.explode(each).alias("_right_salt"))
+    on = F.col("_needed") & (F.col("_key") == F.col("_right")) & (F.col("_salt") == F.col("_right_salt"))
+    kept = [*names, *(c for c in right.columns if c not in ("_right", "_right_salt"))]
+    return left.join(right, on, "left").select(*kept)

@@ -14,15 +14,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.periods import SUPPORTED_FREQS
+
 # Account ids left out of the trade blotter and of balances.
 TRADE_EXCLUDED_ACCOUNT_IDS = (111,)
 BALANCE_EXCLUDED_ACCOUNT_IDS = (121, 70500, 213023, 212931)
 
-# Longer user lists are applied as a semi join rather than as literals.
-MAX_LITERAL_USERS = 1000
-
-# Period frequencies understood by the period label.
-SUPPORTED_FREQS = ("W-MON", "W-SUN", "D", "MS", "ME")
 
 
 def _as_date(value: str | _dt.date | None, default: _dt.date) -> _dt.date:
@@ -97,14 +94,10 @@ class Scope:
     def principals(self, principals: DataFrame, name: str = "name") -> DataFrame:
         """``principals`` restricted to the scope's users.
 
-        A DataFrame of names, or a list longer than ``MAX_LITERAL_USERS``, is
-        applied as a semi join (broadcast or shuffled by size) instead of an
-        ``IN`` list carried in every task."""
-        users = self.users
-        if isinstance(users, tuple) and len(users) > MAX_LITERAL_USERS:
-            users = principals.sparkSession.createDataFrame([(u,) for u in users], "name string")
-        if isinstance(users, DataFrame):
-            names = users.select(F.col(users.columns[0]).alias("_scope_name"))
+        A DataFrame of names is applied as a semi join, names in a list as an
+        ``IN`` predicate."""
+        if isinstance(self.users, DataFrame):
+            names = self.users.select(F.col(self.users.columns[0]).alias("_scope_name"))
             return principals.join(names, F.col(name) == F.col("_scope_name"), "left_semi")
         return principals.where(self.user_predicate(name))
 

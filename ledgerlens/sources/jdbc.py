@@ -31,6 +31,10 @@ TRADING_TABLES = {
 }
 
 
+# Tables that grow with the business; read by one task, they would not end.
+LARGE_TABLES = ("activities", "activity_legs", "orders", "order_legs", "positions", "user_sessions", "quotes_history")
+
+
 def jdbc_options(
     url: str,
     table: str,
@@ -81,18 +85,21 @@ def load_jdbc_tables(
     """All brokerage tables from one database schema.
 
     ``partitioning`` maps a ``Tables`` field to ``(column, lower, upper,
-    partitions)`` for the large tables (activities, legs, orders, positions,
-    sessions, quotes); small tables are read by one task each.
+    partitions)`` and must name every large table; small ones are read by one
+    task each.  A table's schema is asked for when it is first used.
     """
     props = dict(properties or {})
     parts = dict(partitioning or {})
+    missing = [f for f in LARGE_TABLES if f not in parts]
+    if missing:
+        raise ValueError(f"partitioning must name {missing}: one task would read each of them")
     frames = {}
     for field, table in TRADING_TABLES.items():
         kw = dict(url=url, table=f"{schema}.{table}", **props)
         if field in parts:
             col, lo, hi, n = parts[field]
             kw.update(partition_column=col, lower_bound=lo, upper_bound=hi, num_partitions=n)
-        frames[field] = read_jdbc(spark, **kw)
+        frames[field] = lambda kw=kw: read_jdbc(spark, **kw)
     return Tables(**frames)
 
 

@@ -24,7 +24,7 @@ BUCKET_KEYS = {
 }
 
 
-def write_bucketed_tables(tables: Tables, database: str, buckets: int, mode: str = "overwrite") -> None:
+def write_bucketed_tables(tables: Tables, database: str, buckets: int, mode: str = "errorifexists") -> None:
     """Save every table into ``database``, bucketing the joined pairs.
 
     ``buckets`` should give buckets of a few hundred MB for the largest table

@@ -7,20 +7,22 @@ from a *single* source row with ``to_json``, so building them needs no
 grouping and grows linearly with the tables.  The oracle reads the same facts
 in relational form.
 
-Layouts (fields the operators do not name pass through untouched):
+Layouts (fields, categories and attributes that the operators do not name arrive in
+their map columns; each kind of document has some):
 
 * client:   ``{"clientId", "accounts": [{"accountCode", "clearingCode",
-  "currency", "categories": [{"category", "value"}]}]}``; one customer in ten
+  "currency", "desk", "categories": [{"category", "value"}]}]}``, with the unnamed
+  category TIER; one customer in ten
   has no ``accounts`` key; odd customers list a DEMO account first.
 * metrics:  ``{"metrics": [{"account", "equity", "balance", "openPL",
   "totalPL"}, ...]}``, first element meaningful, second a zero row; one
   account in thirteen has an empty list.
-* positions: ``{"positions": [{"positionCode", "symbol", "quantity"}]}``
+* positions: ``{"positions": [{"positionCode", "symbol", "quantity", "side"}]}``
   with ``o_orderkey % 4`` elements (so some are empty).
-* orders:   ``{"orders": [{"orderCode", "symbol", "quantity"}]}`` with
+* orders:   ``{"orders": [{"orderCode", "symbol", "quantity", "type"}]}`` with
   ``l_linenumber % 3`` elements.
-* profiles: ``[{"username", "email", "attributes": {"country": [..],
-  "phoneNumber": [..]}}]``; every third customer has no phone number.
+* profiles: ``[{"username", "email", "status", "attributes": {"country": [..],
+  "phoneNumber": [..], "language": [..]}}]``; every third customer has no phone number.
 """
 
 from __future__ import annotations
@@ -28,19 +30,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.fixtures import read_source
-
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Source table for document generation, spread over at least the
-    cluster's parallelism: building and parsing JSON is CPU-bound, and a
-    source stored as one row group would otherwise be handled by one task.
-    On inputs with enough splits this adds nothing."""
-    df = read_source(spark, f"{sf_dir}/{name}.parquet")
-    n = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        df = df.repartition(n)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def client_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,8 +42,10 @@ def client_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("A"), k.cast("string")).alias("accountCode"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", "DEMO").otherwise("LIVE").alias("clearingCode"),
         F.lit("USD").alias("currency"),
+        F.concat(F.lit("desk"), (k % 4).cast("string")).alias("desk"),
         F.filter(
             F.array(
+                F.struct(F.lit("TIER").alias("category"), F.concat(F.lit("T"), (k % 3).cast("string")).alias("value")),
                 F.struct(F.lit("SEGMENT").alias("category"), F.col("c_mktsegment").alias("value")),
                 F.struct(F.lit("NATION").alias("category"), F.col("c_nationkey").cast("string").alias("value")),
                 F.struct(F.lit("SEGMENT").alias("category"), F.when(k % 7 == 0, F.lit("VIP")).alias("value")),
@@ -63,6 +57,7 @@ def client_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("D"), k.cast("string")).alias("accountCode"),
         F.lit("DEMO").alias("clearingCode"),
         F.lit("USD").alias("currency"),
+        F.lit("demo").alias("desk"),
         F.array(F.struct(F.lit("SEGMENT").alias("category"), F.lit("DEMO").alias("value"))).alias("categories"),
     )
     accounts = F.when(k % 2 == 1, F.array(demo, main)).otherwise(F.array(main, demo))
@@ -105,6 +100,7 @@ def position_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(k.cast("string"), F.lit("-"), i.cast("string")).alias("positionCode"),
             F.concat(F.lit("S"), ((k + i) % 12).cast("string")).alias("symbol"),
             (F.col("o_totalprice") / i).alias("quantity"),
+            F.when(k % 2 == 0, "BUY").otherwise("SELL").alias("side"),
         ),
     )
     return o.select(
@@ -123,6 +119,7 @@ def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                         i.cast("string")).alias("orderCode"),
             F.concat(F.lit("S"), ((F.col("l_partkey") + i) % 12).cast("string")).alias("symbol"),
             (F.col("l_quantity") * i).alias("quantity"),
+            F.lit("LIMIT").alias("type"),
         ),
     )
     return li.select(
@@ -136,12 +133,14 @@ def profile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     country = F.array(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")))
     phone = F.array(F.concat(F.lit("+1-"), k.cast("string")))
-    attributes = F.when(k % 3 == 0, F.create_map(F.lit("country"), country)).otherwise(
-        F.create_map(F.lit("country"), country, F.lit("phoneNumber"), phone)
+    language = F.array(F.concat(F.lit("L"), (F.col("c_nationkey") % 5).cast("string")))
+    attributes = F.when(k % 3 == 0, F.create_map(F.lit("country"), country, F.lit("language"), language)).otherwise(
+        F.create_map(F.lit("country"), country, F.lit("phoneNumber"), phone, F.lit("language"), language)
     )
     user = F.struct(
         F.col("c_name").alias("username"),
         F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+        F.lit("ACTIVE").alias("status"),
         attributes.alias("attributes"),
     )
     return c.select(F.col("c_name").alias("user_id"), F.to_json(F.array(user)).alias("body"))
