@@ -113,20 +113,21 @@ def cash_movements_by_period(
     """USD totals per period label and activity type, one column per type (U7).
 
     Only periods with at least one movement appear; an absent type is 0.
-    Amounts are summed as exact decimals per day and rate, partially before
-    the shuffle; each sum is converted once.  A period holds one such product per day
-    and currency rate at most, and they are added in that order.  So totals
+    Amounts are summed as exact decimals per period and rate, partially before
+    the shuffle; each sum is converted once.  A period has at most one rate per day
+    and currency, and the products are added in the order of the rates.  So totals
     neither lose small amounts nor depend on the order of rows.
     """
     moves = cash_movements(t, scope)
     day = F.to_date("transaction_time")
     sums = [F.sum(F.when(F.col("activity_type") == a, F.col("amount"))).alias(a) for a in activity_types]
-    daily = moves.where(day.isNotNull()).groupBy(day.alias("day"), "bid_price").agg(*sums)
+    label = period_label(day, scope.freq).alias("period")
+    by_rate = moves.where(day.isNotNull()).groupBy(label, "bid_price").agg(*sums)
     usd = [(F.col(a).cast("double") * F.col("bid_price")).alias(a) for a in activity_types]
-    daily = daily.select(period_label(F.col("day"), scope.freq).alias("period"), "day", "bid_price", *usd)
-    totals = [F.coalesce(sum_in_order(F.col(a), "day", "bid_price"), F.lit(0.0)).alias(a) for a in activity_types]
+    by_rate = by_rate.select("period", "bid_price", *usd)
+    totals = [F.coalesce(sum_in_order(F.col(a), "bid_price"), F.lit(0.0)).alias(a) for a in activity_types]
     return (
-        daily.groupBy("period")
+        by_rate.groupBy("period")
         .agg(*totals)
         .select(F.col("period").cast("timestamp_ntz").alias("transaction_time"), *activity_types)
     )

@@ -379,11 +379,38 @@ def test_categories_follow_their_account(spark):
 def test_metrics_first_element_and_empty(spark):
     df = spark.createDataFrame(
         [('{"metrics": [{"account": "A", "equity": 1.5, "balance": 2, "openPL": 0, "totalPL": 3},'
-          ' {"account": "B", "equity": 9}]}',), ('{"metrics": []}',)],
-        "body string",
+          ' {"account": "B", "equity": 9}]}', "x"), ('{"metrics": []}', "y")],
+        "body string, account_id string",
+    )
+    got = sorted(payloads.account_metrics(df).collect(), key=lambda r: r["account_id"])
+    assert [tuple(r) for r in got] == [("x", "A", 1.5, 2.0, 0.0, 3.0, {}), ("y", None, None, None, None, None, None)]
+
+
+def test_payloads_keep_unlisted_and_malformed_values(spark):
+    """Fields without a column, and values of the wrong type, stay in the map."""
+    df = spark.createDataFrame(
+        [("A1", '{"positions": [{"positionCode": "p", "quantity": "abc", "openPrice": 1.25, "tags": ["x", "y"]}]}'),
+         ("A2", '{"positions": [{"positionCode": "q"'), ("A3", None)],
+        "account_id string, body string",
+    )
+    got = payloads.payload_positions(df).collect()
+    assert [tuple(r) for r in got if r["account_id"] == "A1"] == [
+        ("A1", "p", None, None, {"quantity": "abc", "openPrice": "1.25", "tags": '["x","y"]'})
+    ]
+    assert sorted(r["account_id"] for r in payloads.unparseable(df).collect()) == ["A2", "A3"]
+
+
+def test_categories_and_attributes_without_a_column(spark):
+    clients = spark.createDataFrame(
+        [("u", '{"accounts": [{"accountCode": "A", "clearingCode": "LIVE", "limit": {"day": 5}, "categories": ['
+               '{"category": "TIER", "value": "1"}, {"category": "NATION", "value": "N"}, {"category": "TIER", "value": "2"}]}]}')],
+        "user_id string, body string",
     )
-    got = sorted(payloads.account_metrics(df).collect(), key=lambda r: str(r["account"]))
-    assert [tuple(r) for r in got] == [("A", 1.5, 2.0, 0.0, 3.0), (None, None, None, None, None)]
+    r = payloads.account_categories(clients).first()
+    assert (r.NATION, r.SEGMENT, r.other_categories, r.other) == ("N", None, {"TIER": "1 2"}, {"limit": '{"day":5}'})
+    profiles = spark.createDataFrame([('[{"username": "u", "age": 7, "attributes": {"country": ["x"], "pets": ["c", "d"]}}]',)], "body string")
+    r = payloads.profile_attributes(profiles).first()
+    assert (r.country, r.phoneNumber, r.other_attributes, r.other) == (["x"], None, {"pets": ["c", "d"]}, {"age": "7"})
 
 
 def test_position_and_order_payloads_explode(spark):
@@ -468,14 +495,13 @@ def test_users_as_dataframe_equal_users_as_list(spark):
         as_frame.user_sql("n")
 
 
-def test_long_user_list_applied_as_semi_join(spark):
-    import ledgerlens.scope as scope_mod
+def test_long_user_list_has_the_same_plan(spark):
     from ledgerlens.plans.inspect import physical_plan
 
     t = tables_from_rows(spark, principals=PRINCIPALS)
-    names = ["alice"] + [f"nobody{i}" for i in range(scope_mod.MAX_LITERAL_USERS + 5)]
+    names = ["alice"] + [f"nobody{i}" for i in range(1005)]
     df = Scope(users=names).principals(t.principals)
     assert [r["name"] for r in df.collect()] == ["alice"]
-    assert "LeftSemi" in physical_plan(df)
+    assert "LeftSemi" not in physical_plan(df)
     short = Scope(users=["alice", "bob"]).principals(t.principals)
     assert "LeftSemi" not in physical_plan(short)
