@@ -14,9 +14,8 @@ or inflected word that training never saw still shares n-grams with words it did
 from __future__ import annotations
 
 import math
-import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,25 +27,44 @@ from ledgerlens.llm.common import narrow, shared_table, small_batches
 
 # Training takes at most so many labelled rows of each class, in the order of a
 # hash of their ids, and stops at so many bytes of text.
-TRAIN_ROWS, TRAIN_BYTES = 3000, 32 << 20
+TRAIN_ROWS, TRAIN_BYTES = 2000, 32 << 20
 ROWS, SIZE, NGRAMS = 1 << 17, 8, range(3, 6)
 SEGMENT = 4
+TURN = 1e-3  # step of the softmax's weights beside that of the rows
 START = -8.0  # log-odds of a segment before training
 SCALE = 10.0  # of a word's sum: about as many of its n-grams say something
 RARE = 1e-3  # a word's weight is RARE / (RARE + its share of the training words)
 
-_EDGES = re.compile(r"^\W+|\W+$")
+# Outer punctuation of a word, which its n-grams leave out.
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¿¡–—"
 
 
-def subwords(word: str) -> list[int]:
-    """Rows of a word, without outer punctuation, and of its n-grams; none for
-    punctuation alone."""
-    word = _EDGES.sub("", word.lower())
-    if not word:
-        return []
-    marked = f"<{word}>"
-    grams = {marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1)}
-    return [zlib.crc32(g.encode()) % ROWS for g in sorted({marked, *grams})]
+def subwords(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of each word and of its n-grams, one word after the other, and the number
+    of rows of each word (0 for punctuation alone).  N-grams are hashed by a
+    polynomial of their code points."""
+    bare = [w.lower().strip(_PUNCTUATION) for w in words]
+    joined = "".join([f"<{w}>" for w in bare if w])
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.array([len(w) + 2 if w else 0 for w in bare], np.int64)
+    ends = np.cumsum(lengths)
+    if not len(codes):
+        return np.zeros(0, np.int64), lengths
+    last = np.repeat(ends, lengths) - np.arange(len(codes))  # letters from here to the word's end
+    rows = np.zeros((len(codes), 1 + len(NGRAMS)), np.int64)
+    valid = np.zeros(rows.shape, bool)
+    begins = (ends - lengths)[lengths > 0]
+    rows[begins, 0] = [zlib.crc32(w.encode("utf-8", "surrogatepass")) % ROWS for w in bare if w]
+    valid[begins, 0] = True
+    for c, n in enumerate(NGRAMS, 1):
+        h = np.full(len(codes), n, np.uint64)
+        for k in range(n):
+            m = max(0, len(codes) - k)
+            h[:m] = (h[:m] ^ codes[k:]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        rows[:, c] = (h >> np.uint64(20)) % np.uint64(ROWS)
+        valid[:, c] = last >= n
+    return rows[valid], _sums(valid.sum(axis=1), lengths).astype(np.int64)
 
 
 def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -68,31 +86,56 @@ class Model:
     common: dict[str, float] = field(default_factory=dict)  # weights of frequent words
 
     def __post_init__(self) -> None:
-        self.row = (self.table @ (self.weights[:, 1] - self.weights[:, 0])) / SCALE
+        self.row = (self.table @ (self.weights[:, 1] - self.weights[:, 0])).astype(np.float64) / SCALE
         self.offset = float(self.bias[1] - self.bias[0])
 
-    def word(self, word: str) -> tuple[float, float]:
-        """A word's part in the odds of a segment, and its weight in the mean."""
-        weight = self.common.get(word, 1.0)
-        return float(self.row[subwords(word)].sum()) * weight, weight
-
-    def score(self, words: list[tuple[float, float]]) -> float:
-        """Probability that the text with these words is toxic."""
-        if not words:
-            return float(_sigmoid(np.float64(self.offset)))
-        both = np.array(words)
-        both = np.concatenate((both, np.zeros((-len(both) % SEGMENT, 2)))).reshape(-1, SEGMENT, 2).sum(axis=1)
-        odds = both[:, 0] / both[:, 1] + self.offset
-        return float(-np.expm1(-np.logaddexp(0, np.clip(odds, -30, 30)).sum()))
+    def words(self, words: Sequence[str]) -> np.ndarray:
+        """Each word's part in the odds of a segment, and its weight in the mean."""
+        rows, lengths = subwords(words)
+        weight = np.array([self.common.get(w, 1.0) for w in words])
+        return np.stack([_sums(self.row[rows], lengths) * weight, weight], axis=1)
+
+
+class Scorer:
+    """Scores texts.  The model is linear in the words, so each different word is
+    looked up once, up to ``kept`` of them; then all are forgotten."""
+
+    def __init__(self, model: Model, kept: int = 300_000) -> None:
+        self.model, self.kept = model, kept
+        self.known: dict[str, int] = {}
+        self.values = np.zeros((0, 2))
+
+    def scores(self, texts: Sequence[str | None]) -> np.ndarray:
+        """Probability of each text to be toxic."""
+        split = [(t or "").split() for t in texts]
+        if len(self.known) > self.kept:
+            self.known, self.values = {}, np.zeros((0, 2))
+        if new := list({w for words in split for w in words}.difference(self.known)):
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.values = np.concatenate((self.values, self.model.words(new)))
+        n = np.array([len(words) for words in split], np.int64)
+        out = np.full(len(n), _sigmoid(self.model.offset))
+        if not n.sum():
+            return out
+        both = self.values[[self.known[w] for words in split for w in words]]
+        segments = -(-n // SEGMENT)
+        number = np.arange(segments.sum()) - np.repeat(np.cumsum(segments) - segments, segments)
+        starts = np.repeat(np.cumsum(n) - n, segments) + number * SEGMENT
+        sums = np.add.reduceat(both, starts, axis=0)
+        odds = np.clip(sums[:, 0] / sums[:, 1] + self.model.offset, -30, 30)
+        full = segments > 0
+        clean = np.add.reduceat(np.logaddexp(0, odds), (np.cumsum(segments) - segments)[full])
+        out[full] = -np.expm1(-clean)
+        return out
 
 
 def train(
     texts: Iterable[tuple[str | None, int]],
-    epochs: int = 6,
+    epochs: int = 8,
     batch: int = 16,
     rate: float = 1.0,
     toxic_weight: float = 6.0,
-    min_texts: int = 20,
+    min_texts: int = 5,
     seed: int = 1,
 ) -> Model:
     """Fit on (text, label) pairs by mini-batches with adaptive steps (Adagrad).
@@ -120,13 +163,11 @@ def train(
     odds = START  # few segments are toxic, even of toxic texts
     frequency = np.bincount(np.concatenate(docs), minlength=len(words))
     weight = RARE / (RARE + frequency / frequency.sum())
-    grams = [np.array(subwords(w), np.int32) for w in words]
-    lengths_of = np.array([len(g) for g in grams])
+    flat, lengths_of = subwords(list(words))
     starts = np.concatenate(([0], np.cumsum(lengths_of)))
-    flat = np.concatenate(grams)
     seen = np.zeros(ROWS, np.int32)
     for d in docs:
-        seen[np.unique(np.concatenate([grams[w] for w in np.unique(d)]))] += 1
+        seen[np.unique(np.concatenate([flat[starts[w] : starts[w + 1]] for w in np.unique(d)]))] += 1
     squares = np.where(seen >= min_texts, 1e-9, np.inf).astype(np.float32)[:, None]
     for epoch in range(epochs):
         order = rng.permutation(len(docs))
@@ -157,7 +198,9 @@ def train(
             grad = d_row[at, None] * direction.astype(np.float32)
             squares[at] += (grad**2).mean(axis=1, keepdims=True)
             table[at] -= step * grad / np.sqrt(squares[at])
-            weights += 0.05 * step * np.stack([d_weights, -d_weights], axis=1)
+            # Small steps at unit length: a turn of the softmax would turn every row's say.
+            weights += TURN * step * np.stack([d_weights, -d_weights], axis=1)
+            weights /= np.linalg.norm(weights[:, 1] - weights[:, 0])
             odds -= 0.1 * float(d_z.sum())
     common = {w: float(weight[i]) for w, i in words.items() if weight[i] < 0.98}
     return Model(table, weights, np.array([-odds / 2, odds / 2], np.float32), common)
@@ -193,8 +236,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text",
     columns.  Words are split at white space; a null, empty or blank text gets one
     empty segment's score.  Whole texts are read; repeated rows score alike.
 
-    The model is linear in the words, so each different word is scored once per
-    task, up to ``kept`` of them before the task begins anew.
+    A task keeps what it knows of up to ``kept`` different words.
     """
     small_batches(docs.sparkSession)
     names = docs.columns
@@ -204,18 +246,10 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(model)  # ROWS x SIZE numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        known: dict[str, tuple[float, float]] = {}
+        scorer = Scorer(shared.value, kept)
         for b in batches:
-            out = []
-            for t in b.column("_text").to_pylist():
-                words = (t or "").split()
-                for w in set(words).difference(known):
-                    known[w] = own.word(w)
-                out.append(own.score([known[w] for w in words]))
-                if len(known) > kept:
-                    known.clear()
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.float64())], names=schema.names)
+            scores = scorer.scores(b.column("_text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores)], names=schema.names)
 
     return rows.mapInArrow(run, schema).toDF(*names, "_score")
 
