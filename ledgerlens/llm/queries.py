@@ -120,7 +120,42 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_windows": _LINE_WINDOWS}
+    """Where SQL can express the operator; the others are tested against
+    brute-force versions."""
+    bits = " + ".join(f"CASE WHEN {r} THEN {1 << k} ELSE 0 END" for k, r in enumerate(quality_rules.RULES.values()))
+    return {
+        "op3_quality_rules": _QUALITY_RULES.replace("FAILED_BITS", bits),
+        "op6_line_windows": _LINE_WINDOWS,
+        "op8_decontamination": _overlaps(),
+    }
+
+
+def _overlaps() -> str:
+    span, frame, share = decontamination.SPAN, decontamination.FRAME, decontamination.SHARE
+    hashes = [
+        f"concat_ws(' ', '{n}', " + ", ".join(f"ws[p + {k + 1}]" for k, c in enumerate(mask) if c == "1") + ")"
+        for n, mask in enumerate(decontamination.MASKS)
+    ]
+    seeds = "[" + ", ".join(hashes) + "]"
+    return f"""
+WITH texts AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws FROM documents
+), items AS (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws FROM benchmark
+), seeds AS (
+    SELECT item_id, unnest({seeds}) AS h, greatest(0, least(p - {(frame - span) // 2}, len(ws) - {frame})) AS first, p, ws
+    FROM (SELECT *, unnest(range(len(ws) - {span} + 1)) AS p FROM items)
+), frames AS (SELECT DISTINCT h, item_id, first - p AS off, ws[first + 1 : first + {frame}] AS frame FROM seeds
+), places AS (
+    SELECT doc_id, p, unnest({seeds}) AS h FROM (SELECT *, unnest(range(len(ws) - {span} + 1)) AS p FROM texts)
+), hits AS (SELECT DISTINCT doc_id, item_id, p + off AS start, frame FROM places JOIN frames USING (h)
+), counted AS (
+    SELECT doc_id, item_id, len(frame) AS size,
+           len(list_filter(range(len(frame)), lambda k: start + k >= 0 AND ws[start + k + 1] = frame[k + 1])) AS same
+    FROM hits JOIN texts USING (doc_id)
+)
+SELECT doc_id, item_id, count(*) AS n_frames, max(same) AS best FROM counted WHERE 100 * same >= {share} * size GROUP BY doc_id, item_id
+"""
 
 
 _LINE_WINDOWS = """
@@ -145,3 +180,27 @@ WITH lines AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed, CASE WHEN d.text IS NULL THEN NULL ELSE md5(c.t) END AS clean_md5
 FROM documents d LEFT JOIN clean c USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM lines GROUP BY doc_id) n USING (doc_id)
 """
+
+
+_QUALITY_RULES = """
+WITH w AS (
+    SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls
+    FROM documents
+), grams AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n
+    FROM (SELECT doc_id, i, a, lead(a, 1) OVER one AS b, lead(a, 2) OVER one AS c
+          FROM (SELECT doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w) WINDOW one AS (PARTITION BY doc_id ORDER BY i))
+    WHERE c IS NOT NULL
+), repeated AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM grams WHERE n > 1) GROUP BY doc_id
+), measured AS (
+    SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^\\p{Lu}]+', '', 'g')) AS n_capitals,
+           len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+    FROM w LEFT JOIN repeated r USING (doc_id)
+), judged AS (SELECT *, CAST(FAILED_BITS AS BIGINT) AS failed_rules FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, failed_rules = 0 AS kept, failed_rules
+FROM judged
+"""

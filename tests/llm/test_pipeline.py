@@ -1,0 +1,90 @@
+import pytest
+
+import corpus_pipeline as P
+from ledgerlens.llm.common import shared_table
+from ledgerlens.llm.packing import Encoder
+from ledgerlens.llm.queries import tokenizer_path
+
+from tests.llm.test_decontamination import words
+from tests.llm.test_line_dedup import plain as plain_lines
+from tests.llm.test_packing import check, laid_out
+from tests.llm.test_simhash import plain as plain_fingerprint
+from tests.llm.test_simhash import roots
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in P.STAGES:
+        out.append(shared_table(stage(spark, out[-1], SF), name))
+    return out
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_names(steps):
+    assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "decontamination", "packing"]
+    assert all(s.columns == steps[0].columns for s in steps[:5])
+
+
+def test_toxic_documents_go(spark, steps):
+    """Labelled toxic ones mostly; clean ones stay."""
+    marks = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    before, after = rows(steps[0]), rows(steps[1])
+    assert all(after[i] == before[i] for i in after)
+    assert sum(marks.get(i) == 0 for i in before.keys() - after.keys()) <= 0.05 * len(before)
+
+
+def test_lines(steps):
+    before, after = rows(steps[1]), rows(steps[2])
+    ids = sorted(before)
+    assert [after[i].text for i in ids] == plain_lines([(i, before[i].text) for i in ids])
+    assert all(after[i].n_chars == len(after[i].text) for i in ids if after[i].text != before[i].text)
+    assert all(after[i] == before[i] for i in ids if after[i].text == before[i].text)
+
+
+def test_one_of_each_group(steps):
+    before, after = rows(steps[2]), rows(steps[3])
+    fps = {i: plain_fingerprint(r.text) for i, r in before.items()}
+    root = roots(set(fps.values()))
+    least = {}
+    for i in before:
+        least[root[fps[i]]] = min(i, least.get(root[fps[i]], i))
+    assert after == {i: before[i] for i in least.values()}
+
+
+def test_contaminated_documents_go(spark, steps):
+    grams = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        w = words(r.text)
+        grams |= {tuple(w[k : k + 10]) for k in range(len(w) - 9)}
+    before, after = rows(steps[3]), rows(steps[4])
+
+    def dirty(text):
+        w = words(text)
+        return any(tuple(w[k : k + 10]) in grams for k in range(len(w) - 9))
+
+    assert after == {i: r for i, r in before.items() if not dirty(r.text)}
+
+
+def test_packing(steps):
+    pieces = steps[5].collect()
+    check(pieces, {i: r.text for i, r in rows(steps[4]).items()}, Encoder(tokenizer_path()))
+    laid_out(pieces, 1024)
+
+
+def test_odd_documents(spark, odd):
+    docs = odd.drop("_score", "DOC_ID_")
+    for name, stage in P.STAGES:
+        docs = shared_table(stage(spark, docs, SF), name)
+    assert docs.count() > 0
+
+
+def test_run(spark, steps):
+    ids = {r.doc_id for r in P.run(spark, SF).select("doc_id").collect()}
+    assert ids == {r.doc_id for r in steps[4].select("doc_id").collect()}

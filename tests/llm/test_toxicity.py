@@ -1,0 +1,117 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import toxicity as T
+
+
+def texts(n, seed, stems=("zorrax", "quibble"), suffixes=("", "s", "ing", "ed")):
+    """Made-up words; toxic texts hold inflected stems among them."""
+    rng = random.Random(seed)
+    parts = ["ka", "lo", "mi", "ren", "ta", "su", "vel"]
+    out = []
+    for i in range(n):
+        words = ["".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(rng.randint(5, 80))]
+        if i % 4 == 0:
+            for _ in range(1 + len(words) // 40):
+                words.insert(rng.randrange(len(words)), rng.choice(stems) + rng.choice(suffixes))
+        out.append((" ".join(words), int(i % 4 == 0)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model():
+    return T.train(texts(800, 1))
+
+
+def score(model, text):
+    return float(T.Scorer(model).scores([text])[0])
+
+
+def test_held_out_accuracy(model):
+    new = texts(400, 2)
+    assert sum((score(model, t) >= 0.5) == y for t, y in new) > 0.97 * len(new)
+
+
+def test_unseen_forms(model):
+    """Inflections and misspellings that training never saw."""
+    new = [" ".join(f"{w} {t}" for w in ("kalo", "miren")) for t in ("zorraxes", "quibbler,", "zorraxx", "QUIBBLED!")]
+    assert all(score(model, t) >= 0.5 for t in new)
+    assert score(model, "kalo miren tasu") < 0.5
+
+
+def test_score_by_the_formula(model):
+    """Segments of four words: weighted means, a softmax, then any of them."""
+    text = "kalo zorraxed miren tasu vel renvel"
+    clean = 1.0
+    direction = model.weights[:, 1] - model.weights[:, 0]
+    words = [(sum(float(model.table[r] @ direction) for r in T.subwords([w])[0]) / T.SCALE, model.common.get(w, 1.0)) for w in text.split()]
+    for at in range(0, len(words), T.SEGMENT):
+        part = words[at : at + T.SEGMENT]
+        z = sum(s * w for s, w in part) / sum(w for _, w in part) + model.offset
+        clean *= 1 - 1 / (1 + math.exp(-z))
+    assert abs(score(model, text) - (1 - clean)) < 1e-5
+
+
+def test_subwords_by_word():
+    """Rows don't depend on the words beside; equal n-grams share a row."""
+    words = ["idiot", "", "...", "Idiot!", "idi0t", "é", "\U0001f600a", "x" * 300]
+    flat, n = T.subwords(words)
+    ends = n.cumsum()
+    for w, e, k in zip(words, ends, n):
+        assert flat[e - k : e].tolist() == T.subwords([w])[0].tolist()
+    one, three, four = ({*T.subwords([w])[0].tolist()} for w in ("idiot", "IDIOT!!", "idi0t"))
+    assert one == three and len(one & four) >= 3 and n[1] == n[2] == 0
+    assert n[0] == 1 + 5 + 4 + 3
+
+
+def test_degenerate_training():
+    for data in ([], [("a b", 0)], [("", 1), (None, 0)], [("a b c", 1), ("d e f", 1)]):
+        m = T.train(data)
+        assert 0 <= score(m, "a b") <= 1 and 0 <= score(m, None) <= 1 and np.isfinite(m.table).all()
+
+
+def test_held_out_rows_teach_nothing(spark):
+    data = texts(300, 3)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(data)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(data)] + [(5, None), (None, 1)], "doc_id long, toxic int")
+    got = {t for t, _ in T.training_texts(docs, marks, "doc_id", "text", "toxic")}
+    assert got == {t for i, (t, _) in enumerate(data) if zlib.crc32(str(i).encode()) % 5}
+    few = list(T.training_texts(docs, marks, "doc_id", "text", "toxic", rows=10))
+    assert sorted(y for _, y in few) == [0] * 10 + [1] * 10
+    assert len(list(T.training_texts(docs, marks, "doc_id", "text", "toxic", most=2000))) < 20
+
+
+def test_odd_rows(spark, odd, empty, model):
+    out = T.score(odd, model)
+    rows = out.collect()
+    assert out.columns == [*odd.columns, "_score"] and len(rows) == odd.count()
+    for r in rows:
+        assert abs(r[-1] - score(model, r.text)) < 1e-12
+    assert T.score(empty, model).collect() == []
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    kept = T.drop_toxic(odd.drop("_score"), labels)
+    assert kept.count() == odd.count()  # no labels: nothing is known to be toxic
+
+
+def test_small_memory_scores_alike(odd, model):
+    a, b = ({(r.doc_id, r.text, r[-1]) for r in T.score(odd, model, kept=k).collect()} for k in (1, 300_000))
+    assert a == b
+
+
+def test_documents(spark):
+    """Held-out documents of the driver's table: ranked far better than by chance,
+    clean ones left alone."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    fitted = T.fit(docs, labels)
+    held = docs.join(labels, "doc_id").where(T.held_out(F.col("doc_id"))).select("doc_id", "text", "toxic")
+    rows = [(r[-1], r.toxic) for r in T.score(held, fitted).collect()]
+    bad, good = [s for s, y in rows if y], [s for s, y in rows if not y]
+    auc = sum((b > g) + (b == g) / 2 for b in bad for g in good) / len(bad) / len(good)
+    assert auc > 0.95
+    assert sum(s >= 0.5 for s in good) < 0.03 * len(good)
