@@ -36,13 +36,13 @@ def get_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        # Target shuffle partition size after AQE coalescing.  Spark's 64 MB
-        # default suits a cluster; a laptop-sized input needs small partitions
-        # or every stage collapses into one task.
+        # Shuffle partition size after AQE coalescing: cluster values.  On a
+        # laptop-sized input every stage would become one task, so the bench
+        # sets its own.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes",
-                os.environ.get("LEDGERLENS_ADVISORY_PARTITION", "1m"))
+                os.environ.get("LEDGERLENS_ADVISORY_PARTITION", "128m"))
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
-                os.environ.get("LEDGERLENS_MIN_PARTITION", "64k"))
+                os.environ.get("LEDGERLENS_MIN_PARTITION", "16m"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "8g"))
     )

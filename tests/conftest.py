@@ -27,7 +27,7 @@ def spark():
     )
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir():
-        # Tests only: a cluster names a shared folder in spark.checkpoint.dir.
+        # For the corpus operators; a cluster names a shared folder in spark.checkpoint.dir.
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
     yield spark
 
