@@ -22,6 +22,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from itertools import pairwise
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,20 +84,24 @@ class Ends:
                 merged.append((lo, hi))
         return merged
 
-    def even(self, capacity: int, shards: int) -> list[int]:
-        """Cuts within the capacity, each as near as can be to an even share of
-        what is left."""
-        total = self.known[-1]
-        earliest = [total]  # where the last 0, 1, ... shards may begin at the earliest
-        for _ in range(shards):
-            earliest.append(self.known[bisect_left(self.known, max(0, earliest[-1] - capacity))])
-        cuts, at = [], 0
-        for left in range(shards, 0, -1):
-            goal = at + (total - at) / left
-            lo, hi = bisect_left(self.known, max(earliest[left - 1], at)), bisect_right(self.known, at + capacity)
-            at = min(self.known[lo:hi], key=lambda e: (abs(e - goal), e))
+    def even(self, capacity: int, shards: int, grain: int = 1500) -> list[int]:
+        """Cuts within the capacity whose shards are as even as can be (least sum
+        of squares), out of some ``grain`` known ends and the greedy cuts."""
+        thin = self.known[:: -(-len(self.known) // grain)]
+        places = np.array(sorted({0, self.known[-1], *thin, *self.greedy(capacity, shards, False)}), np.float64)
+        size = places[None, :] - places[:, None]
+        cost = np.where((size >= 0) & (size <= capacity), (size / places[-1]) ** 2, np.inf)
+        best, came = cost[0], []
+        for _ in range(shards - 1):
+            total = best[:, None] + cost
+            came.append(total.argmin(axis=0))
+            best = total.min(axis=0)
+        at = len(places) - 1
+        cuts = [at]
+        for step in reversed(came):
+            at = step[at]
             cuts.append(at)
-        return cuts
+        return [int(places[i]) for i in reversed(cuts)]
 
 
 def cut_places(groups: DataFrame, total: int, largest: int, shards: int, buckets: int = BUCKETS) -> list[int]:
