@@ -7,11 +7,11 @@ from ledgerlens.llm.queries import tokenizer_path
 from ledgerlens.llm.token_counts import Automaton, sentencepiece_vocabulary, token_counts
 
 
-def greedy(word, first, rest):
+def greedy(word, first, rest, longest=64):
     at = n = 0
     while at < len(word):
         pieces = rest if at else first
-        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in pieces), None)
         if end is None:
             return None
         at, n = end, n + 1
@@ -40,7 +40,9 @@ def test_documents(spark, documents, odd, odder, empty):
         want, known = [], {}
         for r in source.collect():
             words = (r.text or "").encode().split()
-            counts = [known.setdefault(w, greedy(w.decode()[:60_000], one, two)) if w not in known else known[w] for w in words]
+            for w in set(words).difference(known):
+                known[w] = greedy(w.decode(), one, two)
+            counts = [known[w] for w in words]
             want.append((r.doc_id or 0, len(words), sum(c or 1 for c in counts), sum(c is None for c in counts)))
         assert got == sorted(want)
     assert token_counts(empty, first, rest).collect() == []
