@@ -13,7 +13,6 @@ or inflected word that training never saw still shares n-grams with words it did
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -142,7 +141,7 @@ def train(
 
     Rows that fewer than ``min_texts`` texts use stay zero, as does all that training
     never saw: such n-grams say nothing.  Texts without words are left out.  Without
-    texts of both classes all scores are the bias's: the share of toxic texts.
+    texts of both classes nothing can be told apart, and all scores are about 0.
     """
     words: dict[str, int] = {}
     docs, labels = [], []
@@ -152,14 +151,12 @@ def train(
             labels.append(label)
     rng = np.random.default_rng(seed)
     y = np.array(labels, np.float64)
-    share = (float(y.sum()) + 0.5) / (len(y) + 1)
     unit = rng.normal(size=SIZE)
     unit = (unit / np.linalg.norm(unit)).astype(np.float32)
     # Softmax over (clean, toxic): the classes' weights start as opposites.
     weights, table = np.stack([-unit / 2, unit / 2], axis=1), np.zeros((ROWS, SIZE), np.float32)
     if not 0 < y.sum() < len(y):
-        odds = math.log(share / (1 - share))
-        return Model(table, weights, np.array([-odds / 2, odds / 2], np.float32))
+        return Model(table, weights, np.array([15, -15], np.float32))
     odds = START  # few segments are toxic, even of toxic texts
     frequency = np.bincount(np.concatenate(docs), minlength=len(words))
     weight = RARE / (RARE + frequency / frequency.sum())
@@ -261,5 +258,6 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, that score below ``threshold``."""
-    scored = score(docs, fit(docs, labels, id, text), id, text)
-    return scored.where(F.col("_score") < threshold).drop("_score")
+    names = docs.columns
+    scored = score(docs, fit(docs, labels, id, text), id, text).toDF(*(f"_c{i}" for i in range(len(names))), "_score")
+    return scored.where(F.col("_score") < threshold).drop("_score").toDF(*names)
