@@ -8,10 +8,9 @@ A text's score is the sum of its tokens' conditional log-probabilities.
 Tokens are lower-cased words: the ``WORDS`` most frequent of all texts, and
 ``BUCKETS`` hash buckets for all others.  Counts cover every text.  Training is
 data-parallel: in each round every task starts from the shared parameters, takes
-gradient steps in numpy over its own texts (each ``STRIDE``-th place, another one in
-each round), and the rows it changed are averaged over all tasks in one aggregation.
-So every text takes part, and what is gathered grows with the corpus, while the
-driver only sees the model, whose size is fixed.
+gradient steps in numpy over every place of its own texts, and the rows it changed
+are averaged over all tasks in one aggregation.  So every token is predicted in
+every round, while the driver only sees the model, whose size is fixed.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from ledgerlens.llm.common import SPACES, narrow, shared_table, small_batches
 WORDS, BUCKETS = 3840, 256
 TOKENS = WORDS + BUCKETS
 WINDOW, SIZE, CLASSES = 3, 32, 64
-STRIDE, ROUNDS, BATCH = 8, 2, 2048
+ROUNDS, BATCH = 2, 2048
 PLACES = [k for k in range(-WINDOW, WINDOW + 1) if k]
 # One matrix holds all parameters, so that they average alike: an embedding per
 # token and one for padding, a scale per place, two rows of half the output per
@@ -107,30 +106,25 @@ def padded(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(places) if places else np.zeros(0, np.int64)
 
 
-def hidden(p: np.ndarray, around: np.ndarray) -> np.ndarray:
-    """Units for rows of tokens around masked places."""
-    h = p[around[:, 0]] * p[SCALES]
-    for k in range(1, len(PLACES)):
-        h += p[around[:, k]] * p[SCALES + k]
+def hidden(p: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Units for each place of a run of tokens, whose ``vectors`` begin WINDOW places
+    before the run and end WINDOW places after it."""
+    n = len(vectors) - 2 * WINDOW
+    h = vectors[:n] * p[SCALES]
+    part = np.empty_like(h)
+    for k, d in enumerate(PLACES[1:], 1):
+        h += np.multiply(vectors[WINDOW + d : WINDOW + d + n], p[SCALES + k], out=part)
     return np.tanh(h, out=h)
 
 
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
 def log_probabilities(p: np.ndarray, vocab: Vocabulary, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Of each token at ``places`` given those around it."""
     u, c = _output(p)
     out = np.empty(len(places))
-    scaled = [p[: TOKENS + 1] * p[SCALES + k] for k in range(len(PLACES))]
     for lo in range(0, len(places), 8192):
         at = places[lo : lo + 8192]
-        h = scaled[0][tokens[at + PLACES[0]]]
-        for k in range(1, len(PLACES)):
-            h += scaled[k][tokens[at + PLACES[k]]]
-        z = np.tanh(h, out=h) @ u
+        run = tokens[at[0] - WINDOW : at[-1] + WINDOW + 1]
+        z = hidden(p, p[run])[at - at[0]] @ u
         z += c
         z -= z.max(axis=1, keepdims=True)
         own = tokens[at]
@@ -156,28 +150,43 @@ class Trainer:
         p = self.p
         for lo in range(0, len(places), BATCH):
             at = places[lo : lo + BATCH]
-            around = tokens[at[:, None] + np.array(PLACES)]
-            h = hidden(p, around)
+            run, n = tokens[at[0] - WINDOW : at[-1] + WINDOW + 1], int(at[-1] - at[0]) + 1
+            vectors = p[run]
+            h = hidden(p, vectors)[at - at[0]]
             u, c = _output(p)
-            g = np.exp(log_softmax(h @ u + c))
+            g = h @ u + c
+            g -= g.max(axis=1, keepdims=True)
+            np.exp(g, out=g)
+            g /= g.sum(axis=1, keepdims=True)
             g[np.arange(len(at)), self.vocab.classes[tokens[at]]] -= 1
             g /= len(at)
-            d = (g @ u.T) * (1 - h * h)
-            scales = np.stack([(d * p[around[:, k]]).sum(axis=0) for k in range(len(PLACES))])
-            wide = np.concatenate([d * p[SCALES + k] for k in range(len(PLACES))])
-            rows, back = np.unique(around.T.ravel(), return_inverse=True)
-            flat = (back[:, None] * SIZE + np.arange(SIZE)).ravel()
-            grad = np.bincount(flat, wide.ravel(), len(rows) * SIZE).reshape(-1, SIZE).astype(np.float32)
-            self._step(rows[rows < TOKENS], grad[rows < TOKENS])  # padding stays zero
-            self.used[rows] += np.bincount(back, minlength=len(rows))
+            # Back from the places to the tokens around them: one row per token of the run.
+            d, asked = np.zeros((n, SIZE), np.float32), np.zeros(n, np.int64)
+            d[at - at[0]] = (g @ u.T) * (1 - h * h)
+            asked[at - at[0]] = 1
+            wide, times = np.zeros_like(vectors), np.zeros(len(run), np.int64)
+            scales = np.empty((len(PLACES), SIZE), np.float32)
+            for k, off in enumerate(PLACES):
+                there = slice(WINDOW + off, WINDOW + off + n)
+                scales[k] = np.einsum("ij,ij->j", d, vectors[there])
+                wide[there] += d * p[SCALES + k]
+                times[there] += asked
+            order = np.argsort(run, kind="stable")
+            begin = np.flatnonzero(np.diff(run[order], prepend=-1))
+            rows, grad = run[order[begin]], np.add.reduceat(wide[order], begin, axis=0)
+            times = np.add.reduceat(times[order], begin)
+            met = (rows < TOKENS) & (times > 0)  # padding stays zero
+            self._step(rows[met], grad[met])
+            self.used[rows] += times
             rest = np.concatenate([scales, (h.T @ g).reshape(-1, SIZE), g.sum(axis=0).reshape(-1, SIZE)])
             self._step(np.arange(SCALES, PARAMETERS), rest)
             self.used[SCALES:] += len(at)
 
 
-def fit(docs: DataFrame, vocab: Vocabulary, text: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> np.ndarray:
+def fit(docs: DataFrame, vocab: Vocabulary, text: str = "text", rounds: int = ROUNDS, stride: int = 1) -> np.ndarray:
     """Parameters after ``rounds`` of training and averaging over all texts.  Rows
-    that no task changed keep their values; texts without words teach nothing."""
+    that no task changed keep their values; texts without words teach nothing.  With
+    a ``stride`` above 1 a round reads only each ``stride``-th place."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = narrow(docs, text).select(F.lower(F.col(text)).alias("_text"))

@@ -82,3 +82,52 @@ def test_odd_rows(odd, odder, empty):
     assert len(same) == 3 and np.ptp(same) < 1e-6
     assert max(r.n_tokens for r in rows) == 30_000
     assert M.pseudo_likelihood(empty).collect() == []
+
+
+def test_every_place_is_learnt_in_each_round(corpus, model, monkeypatch):
+    """Batches hold all tokens, not one place in several; the gradient is that of
+    the places taken one by one."""
+    _, vocab = model
+    seen = []
+    monkeypatch.setattr(M.Trainer, "learn", lambda self, tokens, places: seen.append((tokens, places)))
+    docs = corpus.where("doc_id < 5")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, f, schema: _run_here(df, f, schema))
+    M.fit(docs, vocab, rounds=2)
+    assert len(seen) == 2
+    for tokens, places in seen:
+        assert sorted(places) == np.flatnonzero(tokens != M.TOKENS).tolist()
+
+
+def _run_here(df, f, schema):
+    """``f`` over the rows in this process; then a table without rows."""
+    import pyarrow as pa
+
+    list(f(iter([pa.RecordBatch.from_pylist([r.asDict() for r in df.collect()])])))
+    return df.sparkSession.createDataFrame([], schema)
+
+
+def test_gradient_by_places(corpus, model):
+    """A step on a run equals the sums over its places, also with places left out."""
+    _, vocab = model
+    tokens, places = M.padded([vocab.ids(r.text.split(), {}) for r in corpus.where("doc_id < 4").collect()])
+    places = places[places % 5 != 0]
+    trainer = M.Trainer(M.initial(vocab), vocab)
+    p, grads = trainer.p.astype(float), {}
+    trainer._step = lambda rows, grad: grads.update(zip(rows.tolist(), grad))
+    trainer.learn(tokens, places)
+    u, c = M._output(p)
+    want, times = np.zeros_like(p), np.zeros(len(p))
+    for i in places:
+        h = np.tanh(sum(p[tokens[i + d]] * p[M.SCALES + k] for k, d in enumerate(M.PLACES)))
+        e = np.exp(h @ u + c)
+        g = (e / e.sum() - np.eye(M.CLASSES)[vocab.classes[tokens[i]]]) / len(places)
+        back = (u @ g) * (1 - h * h)
+        for k, d in enumerate(M.PLACES):
+            want[tokens[i + d]] += back * p[M.SCALES + k]
+            want[M.SCALES + k] += back * p[tokens[i + d]]
+            times[tokens[i + d]] += 1
+        want[M.OUTPUT : M.BIAS] += np.outer(h, g).reshape(-1, M.SIZE)
+        want[M.BIAS :] += g.reshape(-1, M.SIZE)
+    want[M.TOKENS] = 0
+    assert all(np.allclose(grads[r], want[r], atol=1e-6) for r in grads)
+    assert not np.delete(want, sorted(grads), axis=0).any() and (trainer.used[: M.TOKENS] == times[: M.TOKENS]).all()
