@@ -6,7 +6,9 @@ class of the masked token; the token within its class follows the corpus's count
 A text's score is the sum of its tokens' conditional log-probabilities.
 
 Tokens are lower-cased words: the ``WORDS`` most frequent of all texts, and
-``BUCKETS`` hash buckets for all others.  Counts cover every text.  Training is
+``BUCKETS`` hash buckets for all others.  A word of a bucket adds the logarithm of
+its own share of the bucket's counts, so every word of the corpus has a probability
+of its own.  Counts cover every text and every word, in a written table.  Training is
 data-parallel: in each round every task starts from the shared parameters, takes
 gradient steps in numpy over every place of its own texts, and the rows it changed
 are averaged over all tasks in one aggregation.  So every token is predicted in
@@ -17,19 +19,25 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from ledgerlens.llm.common import SPACES, narrow, shared_table, small_batches
+from ledgerlens.llm.common import narrow, shared_table, small_batches
 
 WORDS, BUCKETS = 3840, 256
 TOKENS = WORDS + BUCKETS
 WINDOW, SIZE, CLASSES = 3, 32, 64
 ROUNDS, BATCH = 2, 2048
+# Words whose counts every task holds; all others are joined from the table.  A word
+# beyond them has at most about 1 in KEPT of all tokens, so no key of the join is hot.
+KEPT = 200_000
+# White space as ``str.split`` has it, so that words are counted as they are scored.
+SPACES = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 PLACES = [k for k in range(-WINDOW, WINDOW + 1) if k]
 # One matrix holds all parameters, so that they average alike: an embedding per
 # token and one for padding, a scale per place, two rows of half the output per
@@ -45,6 +53,7 @@ class Vocabulary:
     index: dict[str, int]  # frequent words
     classes: np.ndarray  # class of each token
     inside: np.ndarray  # log-probability of each token within its class
+    rare: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))  # count of each bucket
 
     def ids(self, words: list[str], known: dict[str, int]) -> list[int]:
         """Tokens of words; ``known`` keeps what was looked up."""
@@ -54,11 +63,16 @@ class Vocabulary:
         return [known[w] for w in words]
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """Counted over all texts; ties in count go by the word."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(w, n)`` of every word of all texts, as a written table."""
     split = F.explode(F.split(F.lower(F.col(text)), SPACES)).alias("w")
     counts = narrow(docs, text).select(split).where("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    counts = shared_table(counts, "words")
+    return shared_table(counts, "words")
+
+
+def vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> Vocabulary:
+    """Counted over all texts; ties in count go by the word."""
+    counts = word_counts(docs, text) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "w").limit(WORDS).collect()
     rest = counts.groupBy((F.crc32(F.col("w").cast("binary")) % BUCKETS).alias("b")).agg(F.sum("n").alias("n"))
     n = np.zeros(TOKENS)
@@ -67,7 +81,32 @@ def vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
     for i, r in enumerate(top):
         n[i] = r["n"]
         n[WORDS + zlib.crc32(r["w"].encode()) % BUCKETS] -= r["n"]
-    return Vocabulary({r["w"]: i for i, r in enumerate(top)}, *classes(n))
+    return Vocabulary({r["w"]: i for i, r in enumerate(top)}, *classes(n), n[WORDS:])
+
+
+def _share(n: float | np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Logarithm of a word's share of its bucket; one that was never counted has half a word."""
+    return np.log(np.maximum(n, 0.5) / np.maximum(of, 0.5))
+
+
+def kept_shares(counts: DataFrame, vocab: Vocabulary, kept: int = KEPT) -> tuple[dict[str, float], DataFrame]:
+    """Log share within its bucket of each of up to ``kept`` words outside the
+    vocabulary, by falling count, and the counts of all words with fewer.  Words of
+    like count (an eighth of a doubling) are kept or left together."""
+    level = F.floor(8 * F.log2("n"))
+    least, total = None, 0
+    for r in sorted(counts.groupBy(level.alias("l")).count().collect(), key=lambda r: -r["l"]):  # a few hundred rows
+        total += r["count"]
+        if total > kept + len(vocab.index):
+            break
+        least = r["l"]
+    if least is None:
+        return {}, counts
+    own = {}
+    for r in counts.where(level >= least).collect():  # at most ``kept`` and the vocabulary
+        if r["w"] not in vocab.index:
+            own[r["w"]] = float(_share(r["n"], vocab.rare[zlib.crc32(r["w"].encode()) % BUCKETS]))
+    return own, counts.where(level < least)
 
 
 def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,37 +258,78 @@ def fit(docs: DataFrame, vocab: Vocabulary, text: str = "text", rounds: int = RO
 
 
 def score(
-    docs: DataFrame, p: np.ndarray, vocab: Vocabulary, id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    p: np.ndarray,
+    vocab: Vocabulary,
+    id: str = "doc_id",
+    text: str = "text",
+    counts: DataFrame | None = None,
+    kept: int = KEPT,
 ) -> DataFrame:
     """``(id, n_tokens, log_likelihood, mean_log_probability)`` per row of ``docs``.
 
     A null, empty or blank text has no tokens, log-likelihood 0 and a null mean.
     Whole texts are scored, whatever their length, in bounded steps; repeated rows
     score alike, and an empty table gives no rows.
+
+    With ``counts`` (of ``word_counts``) a word outside the vocabulary adds the log
+    share of its own count in its bucket, a word without a count that of half a word.
+    Tasks hold the shares of up to ``kept`` words; words beyond are joined to the
+    table.  Without ``counts`` such words are scored as their bucket.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = narrow(docs, id, text).select(id, F.lower(F.col(text)).alias("_text"))
-    schema = rows.drop("_text").schema.add("n_tokens", "long").add("log_likelihood", "double").add("mean_log_probability", "double")
-    shared = docs.sparkSession.sparkContext.broadcast((p, vocab))
+    schema = rows.drop("_text").schema.add("n_tokens", "long").add("_log", "double").add("_left", ArrayType(StringType()))
+    own, others = ({}, None) if counts is None else kept_shares(counts, vocab, kept)
+    by_word = counts is not None
+    shared = spark.sparkContext.broadcast((p, vocab, own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, words = shared.value
+        p, words, shares = shared.value
         known: dict[str, int] = {}
+        tokens, share = np.zeros(0, np.int64), np.zeros(0)  # of the known words
         for b in batches:
-            texts = [words.ids((t or "").split(), known) for t in b.column("_text").to_pylist()]
+            texts = [(t or "").split() for t in b.column("_text").to_pylist()]
             if len(known) > 300_000:
-                known.clear()
+                known, tokens, share = {}, tokens[:0], share[:0]
+            if new := list({w for t in texts for w in t}.difference(known)):
+                known.update(zip(new, range(len(known), len(known) + len(new))))
+                ids = np.array(words.ids(new, {}), np.int64)
+                tokens = np.concatenate((tokens, ids))
+                if by_word:
+                    share = np.concatenate((share, [0.0 if i < WORDS else shares.get(w, np.nan) for w, i in zip(new, ids)]))
+            places = [np.array([known[w] for w in t], np.int64) for t in texts]
             n = np.array([len(t) for t in texts], np.int64)
-            each = np.concatenate(([0], np.cumsum(log_probabilities(own, words, *padded(texts)))))
             ends = np.cumsum(n)
-            total = each[ends] - each[ends - n]
-            mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([b.column(id), pa.array(n), pa.array(total), mean], names=schema.names)
-
-    return rows.mapInArrow(run, schema)
+            each = log_probabilities(p, words, *padded([tokens[i] for i in places]))
+            left: list[list[str]] = [[] for _ in texts]
+            if by_word and len(each):
+                extra = share[np.concatenate(places)]
+                for at in np.flatnonzero(np.isnan(extra)):
+                    k = int(np.searchsorted(ends, at, "right"))
+                    left[k].append(texts[k][at - ends[k] + n[k]])
+                each += np.nan_to_num(extra)
+            total = np.concatenate(([0], np.cumsum(each)))
+            total = total[ends] - total[ends - n]
+            columns = [b.column(id), pa.array(n), pa.array(total), pa.array(left, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    out = rows.mapInArrow(run, schema)
+    total = F.col("_log")
+    if others is not None:
+        out = shared_table(out.withColumn("_row", F.monotonically_increasing_id()), "scored")
+        of = F.greatest(F.element_at(F.array(*map(F.lit, vocab.rare.tolist())), (F.crc32(F.col("w").cast("binary")) % BUCKETS + 1).cast("int")), F.lit(0.5))
+        each = out.select("_row", F.explode("_left").alias("w")).join(others, "w", "left")
+        each = each.select("_row", F.log(F.coalesce(F.col("n").cast("double"), F.lit(0.5)) / of).alias("_share"))
+        out = out.join(each.groupBy("_row").agg(F.sum("_share").alias("_more")), "_row", "left")
+        total = total + F.coalesce("_more", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
+    return out.select(id, "n_tokens", total.alias("log_likelihood"), mean.alias("mean_log_probability"))
 
 
 def pseudo_likelihood(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Vocabulary, network and scores of all documents."""
-    vocab = vocabulary(docs, text)
-    return score(docs, fit(docs, vocab, text), vocab, id, text)
+    counts = word_counts(docs, text)
+    vocab = vocabulary(docs, text, counts)
+    return score(docs, fit(docs, vocab, text), vocab, id, text, counts)

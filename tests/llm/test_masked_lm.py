@@ -131,3 +131,38 @@ def test_gradient_by_places(corpus, model):
     want[M.TOKENS] = 0
     assert all(np.allclose(grads[r], want[r], atol=1e-6) for r in grads)
     assert not np.delete(want, sorted(grads), axis=0).any() and (trainer.used[: M.TOKENS] == times[: M.TOKENS]).all()
+
+
+def test_every_word_counts(spark):
+    """Words of one bucket score by their own counts, kept or joined alike; their
+    probabilities within the bucket sum to one, and unseen words come last."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(6000) for _ in range(6 if i < M.WORDS else 1 + i % 5)] + ["a\u00a0b"] * 5
+    rng.shuffle(words)
+    docs = spark.createDataFrame([(i // 50, " ".join(words[i : i + 50])) for i in range(0, len(words), 50)], "doc_id long, text string")
+    counts = M.word_counts(docs)
+    n = {r.w: r.n for r in counts.collect()}
+    assert sum(n.values()) == sum(len(r.text.split()) for r in docs.collect()) and n["a"] == n["b"] == 5
+    vocab = M.vocabulary(docs, counts=counts)
+    p = M.initial(vocab)
+    bucket = {}
+    for w in n:
+        if w not in vocab.index:
+            bucket.setdefault(vocab.ids([w], {})[0], []).append(w)
+    same = sorted(max(bucket.values(), key=len), key=lambda w: (-n[w], w))
+    new = next(w for k in range(10**6) if (w := f"new{k}") not in n and vocab.ids([w], {}) == vocab.ids(same[:1], {}))
+    single = spark.createDataFrame([(i, w) for i, w in enumerate([*same, new])], "doc_id long, text string")
+    plain = {r.doc_id: r.log_likelihood for r in M.score(single, p, vocab).collect()}
+    assert len({round(v, 6) for v in plain.values()}) == 1  # as their bucket
+    for kept in (0, 500, M.KEPT):
+        got = {r.doc_id: r.log_likelihood for r in M.score(single, p, vocab, counts=counts, kept=kept).collect()}
+        share = {i: np.exp(got[i] - plain[i]) for i in got}
+        of = sum(n[w] for w in same)
+        assert all(abs(share[i] - n[w] / of) < 1e-6 for i, w in enumerate(same))
+        assert abs(share[len(same)] - 0.5 / of) < 1e-6
+        whole = {r.doc_id: r for r in M.score(docs, p, vocab, counts=counts, kept=kept).collect()}
+        base = {r.doc_id: r for r in M.score(docs, p, vocab).collect()}
+        for r in docs.where("doc_id < 5").collect():
+            ids = vocab.ids(r.text.split(), {})
+            more = sum(np.log(n[w] / vocab.rare[i - M.WORDS]) for w, i in zip(r.text.split(), ids) if i >= M.WORDS)
+            assert abs(whole[r.doc_id].log_likelihood - base[r.doc_id].log_likelihood - more) < 1e-6
