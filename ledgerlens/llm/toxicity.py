@@ -4,8 +4,10 @@ A word is the bag of itself and its character n-grams (with marks for its ends),
 hashed into a fixed number of rows of an embedding table; its vector is their scaled
 sum.  A segment of ``SEGMENT`` consecutive words is the weighted mean of their
 vectors (frequent words weigh less), and a linear softmax over it gives the
-probability that the segment is toxic.  A text is toxic if any of its segments is:
-``1 - product(1 - p)``.  Averaged over a whole long text, a few words would drown.
+probability that the segment is toxic.  A passage of up to ``PASSAGE`` consecutive
+segments is toxic if any of them is, ``1 - product(1 - p)``, and a text is as toxic as
+its most toxic passage.  Averaged over a whole long text, a few words would drown;
+joined over all segments, the small chances of clean ones would add up with length.
 
 Table and softmax are trained jointly, in numpy, from the texts' labels.  A misspelt
 or inflected word that training never saw still shares n-grams with words it did see.
@@ -29,6 +31,7 @@ from ledgerlens.llm.common import narrow, shared_table, small_batches
 TRAIN_ROWS, TRAIN_BYTES = 2000, 32 << 20
 ROWS, SIZE, NGRAMS = 1 << 17, 8, range(3, 6)
 SEGMENT = 4
+PASSAGE = 100  # segments
 TURN = 1e-3  # step of the softmax's weights beside that of the rows
 START = -8.0  # log-odds of a segment before training
 SCALE = 10.0  # of a word's sum: about as many of its n-grams say something
@@ -73,6 +76,14 @@ def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - lengths]
 
 
+def _passages(values: np.ndarray) -> np.ndarray:
+    """Sums of each run of PASSAGE consecutive values, or of all if there are fewer."""
+    if len(values) <= PASSAGE:
+        return values.sum(keepdims=True)
+    total = np.concatenate(([0.0], np.cumsum(values)))
+    return total[PASSAGE:] - total[:-PASSAGE]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -123,8 +134,12 @@ class Scorer:
         sums = np.add.reduceat(both, starts, axis=0)
         odds = np.clip(sums[:, 0] / sums[:, 1] + self.model.offset, -30, 30)
         full = segments > 0
-        clean = np.add.reduceat(np.logaddexp(0, odds), (np.cumsum(segments) - segments)[full])
+        unlike = np.logaddexp(0, odds)
+        begins = np.cumsum(segments) - segments
+        clean = np.add.reduceat(unlike, begins[full])
         out[full] = -np.expm1(-clean)
+        for k in np.flatnonzero(segments > PASSAGE):
+            out[k] = -np.expm1(-_passages(unlike[begins[k] : begins[k] + segments[k]]).max())
         return out
 
 
@@ -184,10 +199,18 @@ def train(
             direction = weights[:, 1] - weights[:, 0]
             z = _sums((vectors @ direction)[back] * part, sizes) + odds
             p = _sigmoid(z)
-            any_ = np.clip(-np.expm1(_sums(np.log1p(-p), segments)), 1e-6, 1)
-            # Backward, for the negative log-likelihood of the texts' labels.
+            unlike, begins = -np.log1p(-p), np.cumsum(segments) - segments
+            joint, best = _sums(unlike, segments), np.ones(len(p), bool)
+            for k in np.flatnonzero(segments > PASSAGE):
+                of = _passages(unlike[begins[k] : begins[k] + segments[k]])
+                joint[k] = of.max()
+                best[begins[k] : begins[k] + segments[k]] = False
+                best[begins[k] + of.argmax() :][:PASSAGE] = True
+            any_ = np.clip(-np.expm1(-joint), 1e-6, 1)
+            # Backward, for the negative log-likelihood of the texts' labels: a clean
+            # text is clean in every segment, a toxic one is so by its best passage.
             toxic, whole = np.repeat(y[rows], segments), np.repeat(any_, segments)
-            d_z = np.where(toxic == 1, -toxic_weight * (1 - whole) / whole * p, p) / len(rows)
+            d_z = np.where(toxic == 1, -toxic_weight * (1 - whole) / whole * p * best, p) / len(rows)
             d_word = np.bincount(back, np.repeat(d_z, sizes) * part, len(used))
             d_weights = (vectors.T @ d_word).astype(np.float32)
             d_row = np.bincount(entry, np.repeat(d_word / SCALE, n), ROWS).astype(np.float32)

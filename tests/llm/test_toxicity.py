@@ -115,3 +115,28 @@ def test_documents(spark):
     auc = sum((b > g) + (b == g) / 2 for b in bad for g in good) / len(bad) / len(good)
     assert auc > 0.95
     assert sum(s >= 0.5 for s in good) < 0.03 * len(good)
+
+
+def test_length_alone_is_not_toxic(model):
+    """Words without evidence, and a clean style, score alike at any length; a toxic
+    passage in a long clean text still counts."""
+    blank = T.Scorer(T.Model(np.zeros((T.ROWS, T.SIZE), np.float32), model.weights, np.array([-T.START / 2, T.START / 2])))
+    one, long = blank.scores(["word " * 400, "word " * 40_000])
+    assert long == pytest.approx(one) and long < 0.1
+    style = [t for t, y in texts(40, 5) if not y]
+    short = [score(model, t) for t in style]
+    many = [score(model, " ".join([t] * (20_000 // len(t.split())))) for t in style]
+    assert sum(s >= 0.5 for s in many) <= sum(s >= 0.5 for s in short) + 0.1 * len(style)
+    clean = " ".join(style * 20)
+    assert score(model, f"{clean} zorraxing quibbles zorraxed quibble {clean}") >= 0.5
+
+
+def test_long_clean_documents(spark):
+    """Held-out clean documents of 400 words and more, continued to 20,000 words."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    scorer = T.Scorer(T.fit(docs, labels))
+    held = docs.join(labels, "doc_id").where(T.held_out(F.col("doc_id")) & (F.col("toxic") == 0))
+    words = [w for r in held.orderBy("doc_id").select("text").collect() if len(w := (r.text or "").split()) >= 400][:100]
+    long = [scorer.scores([" ".join((w * (20_000 // len(w) + 1))[:20_000])])[0] for w in words]
+    assert len(words) == 100 and sum(s >= 0.5 for s in long) < 0.05 * len(words)
