@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import narrow, shared_table, small_batches
 
 # Training takes at most so many labelled rows of each class, in the order of a
-# hash of their ids, and stops at so many bytes of text.
+# hash of their ids, and as many of them as fit half of so many bytes of text.
 TRAIN_ROWS, TRAIN_BYTES = 2000, 32 << 20
 ROWS, SIZE, NGRAMS = 1 << 17, 8, range(3, 6)
 SEGMENT = 4
@@ -235,19 +235,33 @@ def training_texts(
     docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, rows: int = TRAIN_ROWS, most: int = TRAIN_BYTES
 ) -> Iterator[tuple[str | None, int]]:
     """(text, label) of the bounded sample: per class the first ``rows`` labelled
-    ids by hash that aren't held out, up to ``most`` bytes in all.  Null labels or ids
-    teach nothing; an id with several labels or texts gives a row for each."""
+    ids by hash that aren't held out, up to half of ``most`` bytes for each class.  A
+    text that doesn't fit what is left is skipped, and the next ones are tried.  Null
+    labels or ids teach nothing; an id with several labels or texts gives a row for
+    each.  Raises ValueError if a class has labelled texts and none of them fits."""
     marks = narrow(labels, id, label).where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(F.col(id)))
     marks = marks.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_y"), F.xxhash64(id).alias("_order"))
     chosen = [marks.where(F.col("_y") == y).orderBy("_order", "_id").limit(rows) for y in (0, 1)]
     sample = shared_table(chosen[0].unionByName(chosen[1]), "labelled")  # at most 2 x rows
     texts = narrow(docs, id, text).join(F.broadcast(sample), F.col(id) == F.col("_id"))
-    texts = shared_table(texts.select("_order", F.col(text).alias("_text"), "_y"), "training")
-    total = 0
-    for r in texts.orderBy("_order", F.xxhash64("_text")).toLocalIterator():
-        total += len((r["_text"] or "").encode())
-        if total > most:
-            return
+    texts = texts.select("_order", F.col(text).alias("_text"), "_y", F.monotonically_increasing_id().alias("_row"))
+    texts = shared_table(texts, "training")
+    # By their sizes first, so that the driver never holds a text that is left out.
+    order = ["_order", F.xxhash64("_text"), "_y", "_row"]
+    sizes = texts.withColumn("_size", F.coalesce(F.octet_length("_text"), F.lit(0))).orderBy(*order).select("_row", "_y", "_size")
+    room, taken, seen = {0: most // 2, 1: most // 2}, [], {0: 0, 1: 0}
+    for r in sizes.toLocalIterator():
+        seen[r["_y"]] += 1
+        if r["_size"] <= room[r["_y"]]:
+            room[r["_y"]] -= r["_size"]
+            taken.append((r["_row"], r["_y"]))
+    for y, n in seen.items():
+        if n and not any(own == y for _, own in taken):
+            raise ValueError(f"none of the {n} labelled texts of class {y} fits {most // 2} bytes")
+    if not taken:
+        return
+    fits = docs.sparkSession.createDataFrame([(r,) for r, _ in taken], "_row long")
+    for r in texts.join(F.broadcast(fits), "_row").orderBy(*order).toLocalIterator():
         yield r["_text"], r["_y"]
 
 

@@ -117,6 +117,25 @@ def test_documents(spark):
     assert sum(s >= 0.5 for s in good) < 0.03 * len(good)
 
 
+def test_a_text_that_does_not_fit_is_skipped(spark):
+    """Very long texts cost neither class the rows after them; a class of which
+    nothing fits is an error."""
+    data = texts(300, 3)
+    labelled = [(i, y) for i, (_, y) in enumerate(data)]
+    marks = spark.createDataFrame(labelled, "doc_id long, toxic int")
+    free = [i for i, _ in labelled if zlib.crc32(str(i).encode()) % 5]
+    order = [r.doc_id for r in marks.orderBy(F.xxhash64("doc_id")).collect() if r.doc_id in free]
+    giants = [next(i for i in order if data[i][1] == y) for y in (0, 1)]  # the first of each class
+    docs = spark.createDataFrame([(i, "huge " * 200_000 if i in giants else t) for i, (t, _) in enumerate(data)], "doc_id long, text string")
+    got = list(T.training_texts(docs, marks, "doc_id", "text", "toxic", most=400_000))
+    assert sorted(got) == sorted(data[i] for i in free if i not in giants)
+    tight = [y for _, y in T.training_texts(docs, marks, "doc_id", "text", "toxic", most=8000)]
+    assert 0.5 < tight.count(1) / tight.count(0) < 2  # a share of the bytes for each class
+    only = marks.where((F.col("toxic") == 0) | (F.col("doc_id") == giants[1]))
+    with pytest.raises(ValueError, match="class 1"):
+        list(T.training_texts(docs, only, "doc_id", "text", "toxic", most=400_000))
+
+
 def test_length_alone_is_not_toxic(model):
     """Words without evidence, and a clean style, score alike at any length; a toxic
     passage in a long clean text still counts."""
