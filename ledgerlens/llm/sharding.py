@@ -160,6 +160,7 @@ def shard(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int =
     groups = groups.join(F.broadcast(start), "_head").select("_digest", (F.col("_before") + F.sum("size").over(running)).alias("end"))
     groups = shared_table(groups, "ends")
     cuts = cut_places(groups, total, largest, shards, buckets)
+    cuts = sorted({*cuts} - {0})  # without empty shards: those come last
     last = {r["end"]: r["_digest"] for r in groups.where(F.col("end").isin(cuts)).collect()}  # one row per shard
     # A row's shard: how many shards end before its digest.
     rows = rows.withColumn("shard", sum(((F.col("_digest") > last[c]).cast("int") for c in cuts[:-1]), F.lit(0)))

@@ -87,3 +87,14 @@ def test_even_beside_a_giant(spark):
     cuts = cut_places(spark.createDataFrame(ends, "end long"), at, 2000, 8)
     loads = sorted(b - a for a, b in zip([0, *cuts], cuts))
     assert loads[-1] == 2000 and loads[0] > 0.7 * loads[-2]
+
+
+@pytest.mark.parametrize("distinct", [1, 2, 3, 15])
+def test_fewer_groups_than_shards(spark, distinct):
+    """Copies of a few texts: all rows are there, and the last shards stay empty."""
+    texts = [f"text {i % distinct}" + " longer" * (i % distinct) for i in range(60)]
+    rows = shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards=16).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(60))
+    check(rows, texts, 16)
+    used = {r.shard for r in rows}
+    assert used == set(range(len(used)))
