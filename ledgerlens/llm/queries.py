@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
     decontamination,
+    hard_negatives,
+    html_extraction,
     line_dedup,
     masked_lm,
     packing,
@@ -18,6 +20,7 @@ from ledgerlens.llm import (
     token_counts,
     toxicity,
     url_filters,
+    va_clustering,
 )
 
 SHARDS = 16
@@ -104,6 +107,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extraction.extract(read(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", "n_chars", "n_blocks", "n_template")
+
+
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = va_clustering.cluster(read(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, salt="1:")
+    return out.drop("compared")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 100 == 0, scale=256, positives=5, negatives=5, low=80, high=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_masked_lm": op1_masked_lm,
@@ -116,6 +135,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_url_filter": op9_url_filter,
         "op10_toxicity": op10_toxicity,
+        "op11_site_text": op11_site_text,
+        "op12_va_clusters": op12_va_clusters,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -127,6 +149,8 @@ def oracle_sql() -> dict[str, str]:
         "op3_quality_rules": _QUALITY_RULES.replace("FAILED_BITS", bits),
         "op6_line_windows": _LINE_WINDOWS,
         "op8_decontamination": _overlaps(),
+        "op12_va_clusters": _va_clusters(),
+        "op13_hard_negatives": _HARD_NEGATIVES,
     }
 
 
@@ -158,6 +182,60 @@ SELECT doc_id, item_id, count(*) AS n_frames, max(same) AS best FROM counted WHE
 """
 
 
+def _va_clusters(k: int = 16, rounds: int = 3, dims: int = 64, scale: int = 64) -> str:
+    """Every vector against every centroid.  Sums and products are whole numbers that
+    DOUBLE holds exactly."""
+    parts = [f"""
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS q FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), q) - 1 AS c, q AS m FROM v
+    ORDER BY c LIMIT {k}
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f""", a{i} AS (
+    SELECT r, vec_id, q, arg_min(c, {{'d': d, 'c': c}}) AS c, min(d) AS d
+    FROM (SELECT r, vec_id, q, c, list_sum(list_transform(list_zip(q, m), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{i}) GROUP BY r, vec_id, q
+)""")
+        if i < rounds:
+            parts.append(f""", c{i + 1} AS (
+    SELECT c{i}.c, coalesce(n.m, c{i}.m) AS m FROM c{i} LEFT JOIN (
+        SELECT c, list(s ORDER BY p) AS m FROM (
+            SELECT c, p, floor(sum(x) / count(*)) AS s FROM (SELECT c, unnest(q) AS x, generate_subscripts(q, 1) AS p FROM a{i}) GROUP BY c, p
+        ) GROUP BY c
+    ) n USING (c)
+)""")
+    parts.append(f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(m, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)
+""")
+    return "".join(parts)
+
+
+_HARD_NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives JOIN scored s USING (anchor_id)
+WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 _LINE_WINDOWS = """
 WITH lines AS (
     SELECT doc_id, i, trim(l, ' ') AS l, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos
