@@ -3,31 +3,37 @@ profiles), derived from the driver's tables.
 
 In production these payloads are API responses stored one document per row
 (``key`` column plus a ``body`` JSON text).  Here each document is built
-from a *single* source row with ``to_json``, so building them needs no
+from a *single* source row as text, so building them needs no
 grouping and grows linearly with the tables.  The oracle reads the same facts
 in relational form.
 
 Layouts (fields, categories and attributes that the operators do not name arrive in
-their map columns; each kind of document has some):
+their map columns; each kind of document has some).  Each kind also has documents that
+are not as they should be; ``k`` is the row's key:
 
 * client:   ``{"clientId", "accounts": [{"accountCode", "clearingCode",
   "currency", "desk", "categories": [{"category", "value"}]}]}``, with the unnamed
-  category TIER; one customer in ten
-  has no ``accounts`` key; odd customers list a DEMO account first.
+  category TIER; odd customers list a DEMO account first.  No ``accounts`` key
+  (``k % 10 = 0``), a document cut short (29: 11), an object in place of the list
+  (23: 7), a number between the accounts (6: 1), a category with a further field
+  (4: 3), a category that is a bare text (14: 2).
 * metrics:  ``{"metrics": [{"account", "equity", "balance", "openPL",
-  "totalPL"}, ...]}``, first element meaningful, second a zero row; one
-  account in thirteen has an empty list.
+  "totalPL"}, ...]}``, first element meaningful, second a zero row.  An empty list
+  (13: 0), a text in place of the second element (9: 4), a text for the equity (12: 5).
 * positions: ``{"positions": [{"positionCode", "symbol", "quantity", "side"}]}``
-  with ``o_orderkey % 4`` elements (so some are empty).
+  with ``k % 4`` elements (so some are empty).  An object in place of the list (26: 3),
+  a number and an element with a text for its quantity at the end (22: 5).
 * orders:   ``{"orders": [{"orderCode", "symbol", "quantity", "type"}]}`` with
-  ``l_linenumber % 3`` elements.
+  ``l_linenumber % 3`` elements.  No document at all (27: 5), a null at the end (18: 4).
 * profiles: ``[{"username", "email", "status", "attributes": {"country": [..],
   "phoneNumber": [..], "language": [..]}}]``; every third customer has no phone number.
+  A list in place of the attributes (15: 4), a country that is no list (8: 3), a number
+  after the profile (16: 1).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,34 +41,50 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _text(*parts: Column | str) -> Column:
+    """The parts as one text, null if one is null; plain strings are literals."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def _fields(*parts: Column | str) -> Column:
+    """A JSON object of fields, without those that are null."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *[F.lit(p) if isinstance(p, str) else p for p in parts]), F.lit("}"))
+
+
 def client_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    main = F.struct(
-        F.concat(F.lit("A"), k.cast("string")).alias("accountCode"),
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "DEMO").otherwise("LIVE").alias("clearingCode"),
-        F.lit("USD").alias("currency"),
-        F.concat(F.lit("desk"), (k % 4).cast("string")).alias("desk"),
-        F.filter(
-            F.array(
-                F.struct(F.lit("TIER").alias("category"), F.concat(F.lit("T"), (k % 3).cast("string")).alias("value")),
-                F.struct(F.lit("SEGMENT").alias("category"), F.col("c_mktsegment").alias("value")),
-                F.struct(F.lit("NATION").alias("category"), F.col("c_nationkey").cast("string").alias("value")),
-                F.struct(F.lit("SEGMENT").alias("category"), F.when(k % 7 == 0, F.lit("VIP")).alias("value")),
-            ),
-            lambda e: e["value"].isNotNull(),
-        ).alias("categories"),
+
+    def category(name: str, value: Column, *more: Column) -> Column:
+        return F.when(value.isNotNull(), _fields(f'"category":"{name}"', _text('"value":"', value, '"'), *more))
+
+    listed = F.concat_ws(
+        ",",
+        category("TIER", _text("T", k % 3), F.when(k % 4 == 3, F.lit('"since":"2020"'))),
+        category("SEGMENT", F.col("c_mktsegment")),
+        category("NATION", F.col("c_nationkey").cast("string")),
+        category("SEGMENT", F.when(k % 7 == 0, F.lit("VIP"))),
+        F.when(k % 14 == 2, F.lit('"VIP"')),
+    )
+    main = _fields(
+        _text('"accountCode":"A', k, '"'),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", '"clearingCode":"DEMO"').otherwise('"clearingCode":"LIVE"'),
+        '"currency":"USD"',
+        _text('"desk":"desk', k % 4, '"'),
+        _text('"categories":[', listed, "]"),
     )
-    demo = F.struct(
-        F.concat(F.lit("D"), k.cast("string")).alias("accountCode"),
-        F.lit("DEMO").alias("clearingCode"),
-        F.lit("USD").alias("currency"),
-        F.lit("demo").alias("desk"),
-        F.array(F.struct(F.lit("SEGMENT").alias("category"), F.lit("DEMO").alias("value"))).alias("categories"),
+    demo = _fields(
+        _text('"accountCode":"D', k, '"'), '"clearingCode":"DEMO"', '"currency":"USD"', '"desk":"demo"',
+        '"categories":[{"category":"SEGMENT","value":"DEMO"}]',
     )
-    accounts = F.when(k % 2 == 1, F.array(demo, main)).otherwise(F.array(main, demo))
-    body = F.when(k % 10 == 0, F.to_json(F.struct(k.alias("clientId")))).otherwise(
-        F.to_json(F.struct(k.alias("clientId"), accounts.alias("accounts")))
+    odd = F.when(k % 6 == 1, F.lit("5"))
+    accounts = F.when(k % 2 == 1, F.concat_ws(",", demo, odd, main)).otherwise(F.concat_ws(",", main, odd, demo))
+    start = _text('{"clientId":', k)
+    body = (
+        F.when(k % 10 == 0, _text(start, "}"))
+        .when(k % 29 == 11, _text(start, ',"accounts":[{"accountCo'))
+        .when(k % 23 == 7, _text(start, ',"accounts":{"accountCode":"A', k, '"}}'))
+        .otherwise(_text(start, ',"accounts":[', accounts, "]}"))
     )
     return c.select(F.col("c_name").alias("user_id"), body.alias("body"))
 
@@ -70,77 +92,82 @@ def client_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metrics_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    code = F.concat(F.lit("A"), k.cast("string"))
-    first = F.struct(
-        code.alias("account"),
-        F.col("c_acctbal").alias("equity"),
-        (F.col("c_acctbal") / 2).alias("balance"),
-        F.lit(0.0).alias("openPL"),
-        (F.col("c_acctbal") / 4).alias("totalPL"),
+    code = _text("A", k)
+    account = _text('"account":"', code, '"')
+    first = _fields(
+        account,
+        F.when(k % 12 == 5, F.lit('"equity":"n/a"')).otherwise(_text('"equity":', F.col("c_acctbal"))),
+        _text('"balance":', F.col("c_acctbal") / 2),
+        '"openPL":0.0',
+        _text('"totalPL":', F.col("c_acctbal") / 4),
     )
-    zero = F.struct(
-        code.alias("account"),
-        F.lit(0.0).alias("equity"),
-        F.lit(0.0).alias("balance"),
-        F.lit(0.0).alias("openPL"),
-        F.lit(0.0).alias("totalPL"),
-    )
-    metrics = F.when(k % 13 == 0, F.array().cast("array<struct<account:string,equity:double,balance:double,"
-                                                 "openPL:double,totalPL:double>>")).otherwise(F.array(first, zero))
-    return c.select(code.alias("account_id"), F.to_json(F.struct(metrics.alias("metrics"))).alias("body"))
+    zero = _fields(account, '"equity":0.0', '"balance":0.0', '"openPL":0.0', '"totalPL":0.0')
+    second = F.when(k % 9 == 4, F.lit('"n/a"')).otherwise(zero)
+    listed = F.when(k % 13 == 0, F.lit("")).otherwise(F.concat_ws(",", first, second))
+    return c.select(code.alias("account_id"), _text('{"metrics":[', listed, "]}").alias("body"))
 
 
 def position_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    n = k % 4
-    elems = F.transform(
-        F.filter(F.sequence(F.lit(1), F.lit(3)), lambda i: i <= n),
-        lambda i: F.struct(
-            F.concat(k.cast("string"), F.lit("-"), i.cast("string")).alias("positionCode"),
-            F.concat(F.lit("S"), ((k + i) % 12).cast("string")).alias("symbol"),
-            (F.col("o_totalprice") / i).alias("quantity"),
-            F.when(k % 2 == 0, "BUY").otherwise("SELL").alias("side"),
-        ),
-    )
-    return o.select(
-        F.concat(F.lit("A"), F.col("o_custkey").cast("string")).alias("account_id"),
-        F.to_json(F.struct(elems.alias("positions"))).alias("body"),
-    )
+    side = F.when(k % 2 == 0, '"side":"BUY"').otherwise('"side":"SELL"')
+
+    def position(i: int) -> Column:
+        return F.when(
+            k % 4 >= i,
+            _fields(
+                _text('"positionCode":"', k, f'-{i}"'),
+                _text('"symbol":"S', (k + i) % 12, '"'),
+                _text('"quantity":', F.col("o_totalprice") / i),
+                side,
+            ),
+        )
+
+    odd = F.when(k % 22 == 5, _text('7,{"positionCode":"', k, '-x","quantity":"abc"}'))
+    listed = F.concat_ws(",", position(1), position(2), position(3), odd)
+    body = F.when(k % 26 == 3, _text('{"positions":{"positionCode":"', k, '"}}')).otherwise(_text('{"positions":[', listed, "]}"))
+    return o.select(_text("A", F.col("o_custkey")).alias("account_id"), body.alias("body"))
 
 
 def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem")
-    n = F.col("l_linenumber") % 3
-    elems = F.transform(
-        F.filter(F.sequence(F.lit(1), F.lit(2)), lambda i: i <= n),
-        lambda i: F.struct(
-            F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-                        i.cast("string")).alias("orderCode"),
-            F.concat(F.lit("S"), ((F.col("l_partkey") + i) % 12).cast("string")).alias("symbol"),
-            (F.col("l_quantity") * i).alias("quantity"),
-            F.lit("LIMIT").alias("type"),
-        ),
-    )
-    return li.select(
-        F.concat(F.lit("A"), F.col("l_suppkey").cast("string")).alias("account_id"),
-        F.to_json(F.struct(elems.alias("orders"))).alias("body"),
-    )
+    k, line = F.col("l_orderkey"), F.col("l_linenumber")
+
+    def order(i: int) -> Column:
+        return F.when(
+            line % 3 >= i,
+            _fields(
+                _text('"orderCode":"', k, ":", line, f':{i}"'),
+                _text('"symbol":"S', (F.col("l_partkey") + i) % 12, '"'),
+                _text('"quantity":', F.col("l_quantity") * i),
+                '"type":"LIMIT"',
+            ),
+        )
+
+    listed = F.concat_ws(",", order(1), order(2), F.when(k % 18 == 4, F.lit("null")))
+    body = F.when(F.coalesce(k % 27 != 5, F.lit(True)), _text('{"orders":[', listed, "]}"))
+    return li.select(_text("A", F.col("l_suppkey")).alias("account_id"), body.alias("body"))
 
 
 def profile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    country = F.array(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")))
-    phone = F.array(F.concat(F.lit("+1-"), k.cast("string")))
-    language = F.array(F.concat(F.lit("L"), (F.col("c_nationkey") % 5).cast("string")))
-    attributes = F.when(k % 3 == 0, F.create_map(F.lit("country"), country, F.lit("language"), language)).otherwise(
-        F.create_map(F.lit("country"), country, F.lit("phoneNumber"), phone, F.lit("language"), language)
+    nation = F.col("c_nationkey")
+
+    def listed(value: Column) -> Column:
+        return F.coalesce(_text('["', value, '"]'), F.lit("[null]"))
+
+    country = F.when((k % 8 == 3) & nation.isNotNull(), _text('"N', nation, '"')).otherwise(listed(_text("N", nation)))
+    attributes = _fields(
+        _text('"country":', country),
+        F.when(k % 3 != 0, _text('"phoneNumber":', listed(_text("+1-", k)))),
+        _text('"language":', listed(_text("L", nation % 5))),
     )
-    user = F.struct(
-        F.col("c_name").alias("username"),
-        F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
-        F.lit("ACTIVE").alias("status"),
-        attributes.alias("attributes"),
+    user = _fields(
+        _text('"username":"', F.col("c_name"), '"'),
+        _text('"email":"', F.lower(F.regexp_replace("c_name", "#", ".")), '@example.com"'),
+        '"status":"ACTIVE"',
+        F.when(k % 15 == 4, F.lit('"attributes":["x"]')).otherwise(_text('"attributes":', attributes)),
     )
-    return c.select(F.col("c_name").alias("user_id"), F.to_json(F.array(user)).alias("body"))
+    body = _text("[", F.concat_ws(",", user, F.when(k % 16 == 1, F.lit("3"))), "]")
+    return c.select(F.col("c_name").alias("user_id"), body.alias("body"))
