@@ -36,6 +36,18 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int, row_bytes: int) -> DataFr
     return df
 
 
+def carried_keys(keys: DataFrame, most: int = 100_000) -> DataFrame | None:
+    """The distinct values of a single column, to be broadcast, if there are at most
+    ``most``; else None.  Runs at once: the values come to the driver (at most
+    ``most + 1`` of them) and go into the plan of whoever joins them, so what found them
+    is not computed again.  Nulls match nothing and are left out."""
+    (name,) = keys.columns
+    found = keys.where(F.col(name).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        return None
+    return F.broadcast(keys.sparkSession.createDataFrame(found, keys.schema))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

@@ -62,3 +62,5 @@ def configure_session(spark: SparkSession) -> None:
     # more shuffle for the aggregate; with it, that shuffle is added only
     # when a skewed partition is actually found.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # A JSON object may name a field twice; the last value counts, as in PostgreSQL.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

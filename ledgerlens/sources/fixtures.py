@@ -116,11 +116,18 @@ VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
             ),
             (
                 "extensions",
-                "CASE o_orderkey % 4 WHEN 0 THEN '[]' "
+                # First what is not as it should be: no JSON, an object in place of the list,
+                # slots that are no objects, values that are no numbers.
+                "CASE WHEN o_orderkey % 40 = 1 THEN '[5, {\"val\": {\"PL_SETTLED_IN_TRADE_CURRENCY\": 2.25}}]' "
+                "WHEN o_orderkey % 40 = 2 THEN '[{\"val\": 7}, null, {\"val\": {\"PL_SETTLED_IN_TRADE_CURRENCY\": \"n/a\", \"hedgingOrderId\": ' "
+                "|| cast(o_orderkey - 2 AS string) || '}}]' "
+                "WHEN o_orderkey % 40 = 3 THEN '{\"val\": {\"PL_SETTLED_IN_TRADE_CURRENCY\": 9}}' "
+                "WHEN o_orderkey % 40 = 5 THEN '[{\"val\": {\"PL_SETT' "
+                "ELSE CASE o_orderkey % 4 WHEN 0 THEN '[]' "
                 "WHEN 1 THEN '[{\"val\": {\"PL_SETTLED_IN_TRADE_CURRENCY\": -1.5}}]' "
                 "WHEN 2 THEN '[{\"x\": 1}, {\"val\": {\"PL_SETTLED_IN_TRADE_CURRENCY\": 2.25, \"hedgingOrderId\": ' "
                 "|| cast(o_orderkey - 2 AS string) || '}}]' "
-                "ELSE '[{\"val\": {\"hedgingOrderId\": ' || cast(o_orderkey - 3 AS string) || '}}]' END",
+                "ELSE '[{\"val\": {\"hedgingOrderId\": ' || cast(o_orderkey - 3 AS string) || '}}]' END END",
             ),
         ],
     ),
