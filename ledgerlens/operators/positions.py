@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.text import rtrim_chars
 from ledgerlens.operators.rates import latest_quotes
-from ledgerlens.plans.joins import broadcast_if_bounded
+from ledgerlens.plans.joins import broadcast_if_bounded, carried_keys
+from ledgerlens.plans.ordering import numbered
 from ledgerlens.scope import Scope
 from ledgerlens.sources.fixtures import Tables
 
@@ -17,42 +18,45 @@ CRYPTO_QUOTES = {"BTC": "BTC/USD", "ETH": "ETH/USD"}
 USD_PEGGED = "USDT"
 
 
-def _open_rows(t: Tables, scope: Scope) -> DataFrame:
+def _open_rows(t: Tables, scope: Scope, carry: bool | None = None) -> DataFrame:
     """Distinct open positions in scope.
 
-    Order legs and orders only have to exist for a position's code: a semi join.
-    The scope is applied to the positions before, and the leg codes are restricted to
-    theirs before they are made distinct, so a few users cost few codes.
+    Order legs and orders only have to exist for a position's code: a semi join against
+    the distinct codes of all legs that have an order.  With a list of users (or
+    ``carry``) the scope's codes are counted in a pass that runs at once; while they are
+    few, they are broadcast into the scan of the order legs, and those found into the scan
+    of the positions, so that neither table is shuffled by code.
     """
+    carry = scope.users is not None if carry is None else carry
     pos = t.positions.where(F.col("code").isNotNull() & (F.col("quantity") != 0))
     instr = t.instruments.select(F.col("id").alias("i_id"), F.col("symbol").alias("i_symbol"), "instrument_type")
     accts = t.accounts.select(F.col("id").alias("acc_id"), "account_code", F.col("owner_id").alias("acc_owner"))
     princ = scope.principals(t.principals).select(F.col("id").alias("p_id"), "name")
-    held = (
-        princ.join(accts, F.col("acc_owner") == F.col("p_id"))
-        .join(pos, F.col("account_id") == F.col("acc_id"))
-        .join(instr, F.col("instrument_id") == F.col("i_id"))
-        .select(
-            F.col("name").alias("user_id"),
-            "account_code",
-            F.col("i_symbol").alias("order_symbol"),
-            "quantity",
-            "cost",
-            F.col("code").alias("position_code"),
-            "opening_time",
-            F.col("i_id").alias("symbol"),
-            "instrument_type",
-        )
-        .distinct()
+    owned = princ.join(accts, F.col("acc_owner") == F.col("p_id")).join(pos, F.col("account_id") == F.col("acc_id"))
+    held = owned.join(instr, F.col("instrument_id") == F.col("i_id")).select(
+        F.col("name").alias("user_id"),
+        "account_code",
+        F.col("i_symbol").alias("order_symbol"),
+        "quantity",
+        "cost",
+        F.col("code").alias("position_code"),
+        "opening_time",
+        F.col("i_id").alias("symbol"),
+        "instrument_type",
     )
+    legs = t.order_legs.where(F.col("position_code").isNotNull())
+    codes = carried_keys(owned.select(F.col("code").alias("key"))) if carry else None
+    if codes is not None:
+        legs = legs.join(codes, F.col("position_code") == F.col("key"), "left_semi")
     existing_orders = t.orders.select(F.col("id").alias("o_id"))
-    codes = (
-        t.order_legs.where(F.col("position_code").isNotNull())
-        .join(existing_orders, F.col("order_id") == F.col("o_id"), "left_semi")
+    found = (
+        legs.join(existing_orders, F.col("order_id") == F.col("o_id"), "left_semi")
         .select(F.col("position_code").alias("leg_code"))
         .distinct()
     )
-    return held.join(codes, F.col("position_code") == F.col("leg_code"), "left_semi")
+    if codes is not None:
+        found = F.broadcast(found)  # no more than the carried codes
+    return held.join(found, F.col("position_code") == F.col("leg_code"), "left_semi").distinct()
 
 
 def open_position_codes(t: Tables, scope: Scope) -> DataFrame:
@@ -62,16 +66,34 @@ def open_position_codes(t: Tables, scope: Scope) -> DataFrame:
     return rows.select("user_id", "order_symbol", "position_code").distinct()
 
 
+def open_position_code_chunks(t: Tables, scope: Scope, most: int = 1000) -> DataFrame:
+    """``(user_id, order_symbol, chunk, position_codes)``: the distinct codes of each pair
+    in order, in arrays of ``most`` (the last chunk: what is left), numbered from 0.
+
+    No pair is one row or one task: codes are numbered in ranges of (user, symbol, code)
+    (``plans.ordering``), a code's place in its pair is its number less the pair's first,
+    and only the codes of a chunk meet in one group.
+    """
+    codes = open_position_codes(t, scope)
+    pair = ["user_id", "order_symbol"]
+    rows = numbered(codes, [F.col(c).asc_nulls_first() for c in (*pair, "position_code")])
+    first = rows.groupBy(*pair).agg(F.min("row_no").alias("first"))
+    # Principals in scope and symbols of open positions are not null.
+    placed = rows.join(first, pair).withColumn("chunk", F.floor((F.col("row_no") - F.col("first")) / most).cast("long"))
+    chunks = placed.groupBy(*pair, "chunk").agg(F.array_sort(F.collect_list("position_code")).alias("position_codes"))
+    return chunks.select(*pair, "chunk", "position_codes")
+
+
 def open_positions(t: Tables, scope: Scope, codes: bool = True) -> DataFrame:
-    """Per ``(user_id, order_symbol)``: summed quantity and cost, the sorted
-    distinct position codes, ``open_price = cost / quantity`` (null when the
-    net quantity is 0) and the ``date`` stamp (``scope.as_of``, else now).
+    """Per ``(user_id, order_symbol)``: summed quantity and cost, the sorted distinct
+    position codes, ``open_price = cost / quantity`` (null when the net quantity is 0)
+    and the ``date`` stamp (``scope.as_of``, else now).
 
     Rows are de-duplicated over the selected columns before summing, then
     summed as decimals and cast to double, so totals do not depend on order.
-    The code array holds every distinct code of the group in one row; with
-    ``codes=False`` it is left out, and ``open_position_codes`` gives the codes as
-    rows of any number.
+    The array ``position_code`` holds all codes of a pair, so it suits pairs whose codes
+    fit a row.  ``codes=False`` leaves it out; the codes are then rows of
+    ``open_position_codes`` or bounded arrays of ``open_position_code_chunks``.
     """
     rows = _open_rows(t, scope)
     as_of = F.lit(scope.as_of).cast("timestamp_ntz") if scope.as_of else F.localtimestamp()
