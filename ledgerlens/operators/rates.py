@@ -58,6 +58,30 @@ def fx_daily_rates(quotes: DataFrame, scope: Scope) -> DataFrame:
     )
 
 
+def write_quotes_by_month(quotes: DataFrame, path: str) -> None:
+    """Lay the quote history out by month of ``bid_time`` (``month=2024-01``; quotes without
+    a time apart), for ``fx_rates_on_days``.  Rows go to one file per month and task,
+    without a shuffle that a busy month could make uneven."""
+    quotes.withColumn("month", F.date_format("bid_time", "yyyy-MM")).write.partitionBy("month").parquet(path)
+
+
+def fx_rates_on_days(quotes: DataFrame, days: DataFrame, scope: Scope) -> DataFrame:
+    """``fx_daily_rates`` of the days in the first column of ``days`` only (dates, in any
+    number, repeated or null ones too) that lie in the scope's rate window.
+
+    Where ``quotes`` is laid out by ``month``, only the months that hold such days are
+    read: the days are broadcast, since the window bounds their number, and the scan is
+    pruned by them when the query runs.
+    """
+    day = F.col(days.columns[0]).cast("date")
+    wanted = days.select(day.alias("_day")).where(F.col("_day").between(F.lit(scope.first_day), F.lit(scope.last_rate_day)))
+    wanted = broadcast_if_bounded(wanted.distinct().withColumn("_month", F.date_format("_day", "yyyy-MM")), scope.rate_days, FX_ROW_BYTES)
+    on = F.to_date("bid_time") == F.col("_day")
+    if "month" in quotes.columns:
+        on = on & (F.col("month") == F.col("_month"))
+    return fx_daily_rates(quotes.join(wanted, on, "left_semi"), scope)
+
+
 def fx_rates_for_join(quotes: DataFrame, scope: Scope) -> DataFrame:
     """``fx_daily_rates`` marked for broadcast when its proven size allows.
 
