@@ -446,6 +446,32 @@ def test_extra_payload_fields_pass_through(spark):
     assert (row["username"], row["enabled"], row["country"]) == ("a", "true", None)
 
 
+def test_extension_slots_are_read_alone(spark):
+    """A slot that is no object, or holds no number, costs no other; the misfits are listed."""
+    pnl, hedge = trades.PNL_KEY, trades.HEDGE_KEY
+    texts = [
+        f'[5,{{"val":{{"{pnl}":2.25,"{hedge}":7}}}}]',
+        f'[{{"val":{{"{pnl}":"x","{hedge}":1.5}}}},{{"val":[1]}},null,{{"val":{{"{pnl}":12345678901234567.1234567891}}}}]',
+        f'{{"val":{{"{pnl}":1}}}}', "[", None, f'[{{"val":{{"{pnl}":1,"{pnl}":3}}}}]',
+    ]
+    df = spark.createDataFrame([(i, "COMPLETED", e) for i, e in enumerate(texts)], "id long, status string, extensions string")
+    df = df.selectExpr("*", "'BUY' order_side", "timestamp_ntz '2024-01-01' created_time", "1 filled_quantity", "'{}' parameters")
+    from ledgerlens.session import configure_session
+
+    configure_session(spark)
+    got = {r.o_id: (r.pnl_3, r.pnl_1, r.pnl_2, r.pnl_4, r.hedge_id) for r in trades._orders(df).collect()}
+    zero = D(0)
+    assert got[0] == (zero, D("2.25"), zero, zero, 7)
+    assert got[1] == (zero, zero, zero, D("12345678901234567.1234567891"), None)  # order 1.5 does not exist
+    assert got[2] == got[3] == got[4] == (zero, zero, zero, zero, 0)
+    assert got[5] == (D(3), zero, zero, zero, 0)
+    errors = sorted(tuple(r) for r in trades.extension_errors(df).collect())
+    assert [e[:3] for e in errors] == [
+        (0, "$[0]", "not an object"), (1, f"$[0].val.{pnl}", "not a number"), (1, "$[1].val", "not an object"), (1, "$[2]", "not an object"),
+        (2, "$", "not a list"), (3, "$", "no JSON"),
+    ]
+
+
 def test_positions_null_symbol_forms_no_group(spark):
     d = T(2024, 1, 1)
     t = tables_from_rows(
