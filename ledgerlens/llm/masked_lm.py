@@ -18,6 +18,7 @@ every round, while the driver only sees the model, whose size is fixed.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, ShortType, StringType, StructField, StructType
 
 from ledgerlens.llm.common import narrow, shared_table, small_batches
 
@@ -36,8 +37,6 @@ ROUNDS, BATCH = 2, 2048
 # Words whose counts every task holds; all others are joined from the table.  A word
 # beyond them has at most about 1 in KEPT of all tokens, so no key of the join is hot.
 KEPT = 200_000
-# White space as ``str.split`` has it, so that words are counted as they are scored.
-SPACES = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 PLACES = [k for k in range(-WINDOW, WINDOW + 1) if k]
 # One matrix holds all parameters, so that they average alike: an embedding per
 # token and one for padding, a scale per place, two rows of half the output per
@@ -63,11 +62,38 @@ class Vocabulary:
         return [known[w] for w in words]
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(w, n)`` of every word of all texts, as a written table."""
-    split = F.explode(F.split(F.lower(F.col(text)), SPACES)).alias("w")
-    counts = narrow(docs, text).select(split).where("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return shared_table(counts, "words")
+def _words(text: bytes | None) -> list[str]:
+    """White space as ``str.split`` has it; bytes that are no UTF-8 read as U+FFFD."""
+    return text.decode("utf-8", "replace").split() if text else []
+
+
+def _lower(docs: DataFrame, text: str) -> DataFrame:
+    return narrow(docs, text).select(F.lower(F.col(text)).cast("binary").alias("_text"))
+
+
+def word_counts(docs: DataFrame, text: str = "text", held: int = 500_000) -> DataFrame:
+    """``(w, n)`` of every word of all texts, as a written table.  A task counts up to
+    ``held`` different words before it hands them on, so a frequent word costs the
+    shuffle a row per task."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+
+        def handed() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["w", "n"])
+            counts.clear()
+            return out
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                counts.update(_words(t))
+            if len(counts) > held:
+                yield handed()
+        yield handed()
+
+    parts = _lower(docs, text).mapInArrow(run, "w string, n long")
+    return shared_table(parts.groupBy("w").agg(F.sum("n").alias("n")), "words")
 
 
 def vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> Vocabulary:
@@ -137,39 +163,53 @@ def _output(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def padded(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All tokens in one array, texts apart by WINDOW paddings, and the places of
     the tokens in it."""
-    parts, at, places = [np.full(WINDOW, TOKENS)], WINDOW, []
-    for ids in texts:
-        parts += [np.array(ids, np.int64), np.full(WINDOW, TOKENS)]
-        places.append(np.arange(at, at + len(ids)))
-        at += len(ids) + WINDOW
-    return np.concatenate(parts), np.concatenate(places) if places else np.zeros(0, np.int64)
-
-
-def hidden(p: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Units for each place of a run of tokens, whose ``vectors`` begin WINDOW places
-    before the run and end WINDOW places after it."""
-    n = len(vectors) - 2 * WINDOW
-    h = vectors[:n] * p[SCALES]
+    lengths = np.array([len(t) for t in texts], np.int64)
+    return spaced(np.concatenate([np.zeros(0, np.int64), *(np.array(t, np.int64) for t in texts)]), lengths)
+
+
+def spaced(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``padded``, of the texts' tokens one after the other and their numbers."""
+    tokens = np.full(len(flat) + WINDOW * (len(lengths) + 1), TOKENS, np.int64)
+    places = np.arange(len(flat)) + WINDOW * np.repeat(np.arange(1, len(lengths) + 1), lengths)
+    tokens[places] = flat
+    return tokens, places
+
+
+def hidden(p: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For a run of tokens that begins and ends with WINDOW places more: the tokens'
+    vectors and the units of the places between, a column per place."""
+    n = len(run) - 2 * WINDOW
+    vectors = np.ascontiguousarray(p.take(run, axis=0).T)
+    h = vectors[:, :n] * p[SCALES][:, None]
     part = np.empty_like(h)
     for k, d in enumerate(PLACES[1:], 1):
-        h += np.multiply(vectors[WINDOW + d : WINDOW + d + n], p[SCALES + k], out=part)
-    return np.tanh(h, out=h)
+        h += np.multiply(vectors[:, WINDOW + d : WINDOW + d + n], p[SCALES + k][:, None], out=part)
+    return vectors, np.tanh(h, out=h)
+
+
+def exponents(h: np.ndarray, u: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each place (a column) the classes' scores, less a constant, and their
+    exponents.  Units lie between -1 and 1, which bounds the scores; only where the
+    bounds are far apart is each place's own maximum taken."""
+    z, reach = u.T @ h, np.abs(u).sum(axis=0)
+    if (c + reach).max() - (c - reach).min() < 80:
+        z += (c - (c + reach).max())[:, None]
+    else:
+        z += c[:, None]
+        z -= z.max(axis=0)
+    return z, np.exp(z)
 
 
 def log_probabilities(p: np.ndarray, vocab: Vocabulary, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Of each token at ``places`` given those around it."""
     u, c = _output(p)
     out = np.empty(len(places))
-    for lo in range(0, len(places), 8192):
-        at = places[lo : lo + 8192]
-        run = tokens[at[0] - WINDOW : at[-1] + WINDOW + 1]
-        z = hidden(p, p[run])[at - at[0]] @ u
-        z += c
-        z -= z.max(axis=1, keepdims=True)
-        own = tokens[at]
-        chosen = z[np.arange(len(at)), vocab.classes[own]]
-        np.exp(z, out=z)
-        out[lo : lo + 8192] = chosen - np.log(z.sum(axis=1)) + vocab.inside[own]
+    for lo in range(0, len(places), BATCH):
+        at = places[lo : lo + BATCH]
+        _, h = hidden(p, tokens[at[0] - WINDOW : at[-1] + WINDOW + 1])
+        z, e = exponents(h, u, c)
+        own, place = tokens[at], at - at[0]
+        out[lo : lo + BATCH] = z[vocab.classes[own], place] - np.log(e.sum(axis=0))[place] + vocab.inside[own]
     return out
 
 
@@ -190,48 +230,100 @@ class Trainer:
         for lo in range(0, len(places), BATCH):
             at = places[lo : lo + BATCH]
             run, n = tokens[at[0] - WINDOW : at[-1] + WINDOW + 1], int(at[-1] - at[0]) + 1
-            vectors = p[run]
-            h = hidden(p, vectors)[at - at[0]]
-            u, c = _output(p)
-            g = h @ u + c
-            g -= g.max(axis=1, keepdims=True)
-            np.exp(g, out=g)
-            g /= g.sum(axis=1, keepdims=True)
-            g[np.arange(len(at)), self.vocab.classes[tokens[at]]] -= 1
-            g /= len(at)
-            # Back from the places to the tokens around them: one row per token of the run.
-            d, asked = np.zeros((n, SIZE), np.float32), np.zeros(n, np.int64)
-            d[at - at[0]] = (g @ u.T) * (1 - h * h)
+            asked = np.zeros(n, np.int32)
             asked[at - at[0]] = 1
-            wide, times = np.zeros_like(vectors), np.zeros(len(run), np.int64)
+            vectors, h = hidden(p, run)
+            u, c = _output(p)
+            _, g = exponents(h, u, c)
+            g *= (asked / g.sum(axis=0)).astype(np.float32)  # nothing where nothing is asked
+            g[self.vocab.classes[tokens[at]], at - at[0]] -= 1
+            # Back from the places to the tokens around them: one column per token of the run.
+            out, bias = h @ g.T, g.sum(axis=1)
+            d = u @ g
+            d *= 1 - np.multiply(h, h, out=h)
+            wide, times, part = np.zeros_like(vectors), np.zeros(len(run), np.int32), np.empty_like(d)
             scales = np.empty((len(PLACES), SIZE), np.float32)
             for k, off in enumerate(PLACES):
                 there = slice(WINDOW + off, WINDOW + off + n)
-                scales[k] = np.einsum("ij,ij->j", d, vectors[there])
-                wide[there] += d * p[SCALES + k]
+                scales[k] = np.multiply(d, vectors[:, there], out=part).sum(axis=1)
+                wide[:, there] += np.multiply(d, p[SCALES + k][:, None], out=part)
                 times[there] += asked
-            order = np.argsort(run, kind="stable")
+            # Tokens fit 16 bits, which sort in linear time.
+            order = np.argsort(run.astype(np.int16), kind="stable")
             begin = np.flatnonzero(np.diff(run[order], prepend=-1))
-            rows, grad = run[order[begin]], np.add.reduceat(wide[order], begin, axis=0)
+            rows, grad = run[order[begin]], np.add.reduceat(np.ascontiguousarray(wide.T).take(order, axis=0), begin, axis=0)
             times = np.add.reduceat(times[order], begin)
             met = (rows < TOKENS) & (times > 0)  # padding stays zero
-            self._step(rows[met], grad[met])
+            self._step(rows[met], grad[met] / len(at))
             self.used[rows] += times
-            rest = np.concatenate([scales, (h.T @ g).reshape(-1, SIZE), g.sum(axis=0).reshape(-1, SIZE)])
-            self._step(np.arange(SCALES, PARAMETERS), rest)
+            rest = np.concatenate([scales, out.reshape(-1, SIZE), bias.reshape(-1, SIZE)]) / len(at)
+            self._step(np.arange(SCALES, PARAMETERS), rest.astype(np.float32))
             self.used[SCALES:] += len(at)
 
 
-def fit(docs: DataFrame, vocab: Vocabulary, text: str = "text", rounds: int = ROUNDS, stride: int = 1) -> np.ndarray:
+def token_table(
+    docs: DataFrame, vocab: Vocabulary, id: str = "doc_id", text: str = "text", counts: DataFrame | None = None, kept: int = KEPT
+) -> tuple[DataFrame, DataFrame | None]:
+    """``(id, n_tokens, _ids, _more, _left)`` per row: the tokens of a text, what its words
+    add beyond their tokens, and the words whose counts must be joined from the second
+    table (see ``score``).  Words are split and looked up here, once."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows = narrow(docs, id, text).select(id, F.lower(F.col(text)).cast("binary").alias("_text"))
+    schema = rows.drop("_text").schema.add("n_tokens", "long").add("_ids", ArrayType(ShortType())).add("_more", "double")
+    schema = schema.add("_left", ArrayType(StringType()))
+    own, others = ({}, None) if counts is None else kept_shares(counts, vocab, kept)
+    by_word = counts is not None
+    shared = spark.sparkContext.broadcast((vocab, own))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, shares = shared.value
+        known: dict[str, int] = {}
+        tokens, share = np.zeros(0, np.int16), np.zeros(0)  # of the known words
+        for b in batches:
+            texts = [_words(t) for t in b.column("_text").to_pylist()]
+            if len(known) > 300_000:
+                known, tokens, share = {}, tokens[:0], share[:0]
+            if new := list({w for t in texts for w in t}.difference(known)):
+                known.update(zip(new, range(len(known), len(known) + len(new))))
+                ids = np.array(words.ids(new, {}), np.int16)
+                tokens = np.concatenate((tokens, ids))
+                added = [0.0 if i < WORDS else shares.get(w, np.nan) for w, i in zip(new, ids.tolist())] if by_word else np.zeros(len(new))
+                share = np.concatenate((share, added))
+            n = np.array([len(t) for t in texts], np.int64)
+            ends = np.cumsum(n)
+            at = np.fromiter((known[w] for t in texts for w in t), np.int64, int(n.sum()))
+            extra = share[at]
+            left: list[list[str]] = [[] for _ in texts]
+            for place in np.flatnonzero(np.isnan(extra)):
+                k = int(np.searchsorted(ends, place, "right"))
+                left[k].append(texts[k][place - ends[k] + n[k]])
+            total = np.concatenate(([0], np.cumsum(np.nan_to_num(extra))))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(tokens[at], pa.int16()))
+            columns = [b.column(id), pa.array(n), lists, pa.array(total[ends] - total[ends - n]), pa.array(left, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return rows.mapInArrow(run, schema), others
+
+
+def _numbers(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all texts, one after the other, and how many each has."""
+    return ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def fit(
+    docs: DataFrame, vocab: Vocabulary, text: str = "text", rounds: int = ROUNDS, stride: int = 1, tokens: DataFrame | None = None
+) -> np.ndarray:
     """Parameters after ``rounds`` of training and averaging over all texts.  Rows
     that no task changed keep their values; texts without words teach nothing.  With
-    a ``stride`` above 1 a round reads only each ``stride``-th place."""
+    a ``stride`` above 1 a round reads only each ``stride``-th place.  ``tokens``: the
+    texts' written ``token_table``, so that no round splits them again."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = narrow(docs, text).select(F.lower(F.col(text)).alias("_text"))
+    rows = _lower(docs, text) if tokens is None else tokens.select("_ids")
     names = [f"v{i}" for i in range(SIZE)]
     schema = ", ".join(["row int", "n double", *(f"{c} float" for c in names)])
-    p = initial(vocab)
+    p, whole = initial(vocab), tokens is None
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((p, vocab))  # of fixed size
 
@@ -239,11 +331,13 @@ def fit(docs: DataFrame, vocab: Vocabulary, text: str = "text", rounds: int = RO
             start, own = shared.value
             trainer, known = Trainer(start, own), {}
             for b in batches:
-                texts = [own.ids((t or "").split(), known) for t in b.column(0).to_pylist()]
-                tokens, places = padded(texts)
-                trainer.learn(tokens, places[turn % stride :: stride])
-                if len(known) > 300_000:
-                    known.clear()
+                if whole:
+                    run_, places = padded([own.ids(_words(t), known) for t in b.column(0).to_pylist()])
+                    if len(known) > 300_000:
+                        known.clear()
+                else:
+                    run_, places = spaced(*_numbers(b.column(0)))
+                trainer.learn(run_, places[turn % stride :: stride])
             at = np.flatnonzero(trainer.used[:PARAMETERS])
             columns = [pa.array(at, pa.int32()), pa.array(trainer.used[at])]
             yield pa.RecordBatch.from_arrays(
@@ -265,6 +359,7 @@ def score(
     text: str = "text",
     counts: DataFrame | None = None,
     kept: int = KEPT,
+    tokens: tuple[DataFrame, DataFrame | None] | None = None,
 ) -> DataFrame:
     """``(id, n_tokens, log_likelihood, mean_log_probability)`` per row of ``docs``.
 
@@ -275,45 +370,23 @@ def score(
     With ``counts`` (of ``word_counts``) a word outside the vocabulary adds the log
     share of its own count in its bucket, a word without a count that of half a word.
     Tasks hold the shares of up to ``kept`` words; words beyond are joined to the
-    table.  Without ``counts`` such words are scored as their bucket.
+    table.  Without ``counts`` such words are scored as their bucket.  ``tokens``: what
+    ``token_table`` gave for the same arguments, the first of the two written.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    rows = narrow(docs, id, text).select(id, F.lower(F.col(text)).alias("_text"))
-    schema = rows.drop("_text").schema.add("n_tokens", "long").add("_log", "double").add("_left", ArrayType(StringType()))
-    own, others = ({}, None) if counts is None else kept_shares(counts, vocab, kept)
-    by_word = counts is not None
-    shared = spark.sparkContext.broadcast((p, vocab, own))
+    rows, others = token_table(docs, vocab, id, text, counts, kept) if tokens is None else tokens
+    schema = StructType([*(f for f in rows.schema.fields if f.name != "_ids"), StructField("_log", DoubleType())])
+    shared = spark.sparkContext.broadcast((p, vocab))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, words, shares = shared.value
-        known: dict[str, int] = {}
-        tokens, share = np.zeros(0, np.int64), np.zeros(0)  # of the known words
+        p, words = shared.value
         for b in batches:
-            texts = [(t or "").split() for t in b.column("_text").to_pylist()]
-            if len(known) > 300_000:
-                known, tokens, share = {}, tokens[:0], share[:0]
-            if new := list({w for t in texts for w in t}.difference(known)):
-                known.update(zip(new, range(len(known), len(known) + len(new))))
-                ids = np.array(words.ids(new, {}), np.int64)
-                tokens = np.concatenate((tokens, ids))
-                if by_word:
-                    share = np.concatenate((share, [0.0 if i < WORDS else shares.get(w, np.nan) for w, i in zip(new, ids)]))
-            places = [np.array([known[w] for w in t], np.int64) for t in texts]
-            n = np.array([len(t) for t in texts], np.int64)
+            flat, n = _numbers(b.column("_ids"))
+            each = np.concatenate(([0], np.cumsum(log_probabilities(p, words, *spaced(flat, n)))))
             ends = np.cumsum(n)
-            each = log_probabilities(p, words, *padded([tokens[i] for i in places]))
-            left: list[list[str]] = [[] for _ in texts]
-            if by_word and len(each):
-                extra = share[np.concatenate(places)]
-                for at in np.flatnonzero(np.isnan(extra)):
-                    k = int(np.searchsorted(ends, at, "right"))
-                    left[k].append(texts[k][at - ends[k] + n[k]])
-                each += np.nan_to_num(extra)
-            total = np.concatenate(([0], np.cumsum(each)))
-            total = total[ends] - total[ends - n]
-            columns = [b.column(id), pa.array(n), pa.array(total), pa.array(left, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            total = each[ends] - each[ends - n] + b.column("_more").to_numpy(zero_copy_only=False)
+            kept_ = [b.column(f) for f in schema.names[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept_, pa.array(total)], names=schema.names)
 
     out = rows.mapInArrow(run, schema)
     total = F.col("_log")
@@ -322,8 +395,8 @@ def score(
         of = F.greatest(F.element_at(F.array(*map(F.lit, vocab.rare.tolist())), (F.crc32(F.col("w").cast("binary")) % BUCKETS + 1).cast("int")), F.lit(0.5))
         each = out.select("_row", F.explode("_left").alias("w")).join(others, "w", "left")
         each = each.select("_row", F.log(F.coalesce(F.col("n").cast("double"), F.lit(0.5)) / of).alias("_share"))
-        out = out.join(each.groupBy("_row").agg(F.sum("_share").alias("_more")), "_row", "left")
-        total = total + F.coalesce("_more", F.lit(0.0))
+        out = out.join(each.groupBy("_row").agg(F.sum("_share").alias("_joined")), "_row", "left")
+        total = total + F.coalesce("_joined", F.lit(0.0))
     mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
     return out.select(id, "n_tokens", total.alias("log_likelihood"), mean.alias("mean_log_probability"))
 
@@ -332,4 +405,6 @@ def pseudo_likelihood(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     """Vocabulary, network and scores of all documents."""
     counts = word_counts(docs, text)
     vocab = vocabulary(docs, text, counts)
-    return score(docs, fit(docs, vocab, text), vocab, id, text, counts)
+    rows, others = token_table(docs, vocab, id, text, counts)
+    rows = shared_table(rows, "tokens")
+    return score(docs, fit(docs, vocab, text, tokens=rows), vocab, id, text, counts, tokens=(rows, others))
