@@ -32,7 +32,8 @@ TRAIN_ROWS, TRAIN_BYTES = 2000, 32 << 20
 ROWS, SIZE, NGRAMS = 1 << 17, 8, range(3, 6)
 SEGMENT = 4
 PASSAGE = 100  # segments
-TURN = 1e-3  # step of the softmax's weights beside that of the rows
+TURN = 0.02  # step of the softmax's weights beside that of the rows
+SPREAD = 0.05  # of the rows' first components
 START = -8.0  # log-odds of a segment before training
 SCALE = 10.0  # of a word's sum: about as many of its n-grams say something
 RARE = 1e-3  # a word's weight is RARE / (RARE + its share of the training words)
@@ -154,8 +155,9 @@ def train(
 ) -> Model:
     """Fit on (text, label) pairs by mini-batches with adaptive steps (Adagrad).
 
-    Rows that fewer than ``min_texts`` texts use stay zero, as does all that training
-    never saw: such n-grams say nothing.  Texts without words are left out.  Without
+    Rows begin as small random vectors, the classes' weights as random ones, and both
+    are free to go anywhere.  Rows that fewer than ``min_texts`` texts use stay zero, as
+    does all that training never saw: such n-grams say nothing.  Texts without words are left out.  Without
     texts of both classes nothing can be told apart, and all scores are about 0.
     """
     words: dict[str, int] = {}
@@ -166,10 +168,8 @@ def train(
             labels.append(label)
     rng = np.random.default_rng(seed)
     y = np.array(labels, np.float64)
-    unit = rng.normal(size=SIZE)
-    unit = (unit / np.linalg.norm(unit)).astype(np.float32)
-    # Softmax over (clean, toxic): the classes' weights start as opposites.
-    weights, table = np.stack([-unit / 2, unit / 2], axis=1), np.zeros((ROWS, SIZE), np.float32)
+    # Softmax over (clean, toxic), each class with weights of its own.
+    weights, table = rng.normal(0, SIZE**-0.5, (SIZE, 2)).astype(np.float32), np.zeros((ROWS, SIZE), np.float32)
     if not 0 < y.sum() < len(y):
         return Model(table, weights, np.array([15, -15], np.float32))
     odds = START  # few segments are toxic, even of toxic texts
@@ -180,7 +180,9 @@ def train(
     seen = np.zeros(ROWS, np.int32)
     for d in docs:
         seen[np.unique(np.concatenate([flat[starts[w] : starts[w + 1]] for w in np.unique(d)]))] += 1
-    squares = np.where(seen >= min_texts, 1e-9, np.inf).astype(np.float32)[:, None]
+    learnt = seen >= min_texts
+    table[learnt] = rng.normal(0, SPREAD, (int(learnt.sum()), SIZE))
+    squares, turned = np.where(learnt, 1e-9, np.inf).astype(np.float32)[:, None], np.full_like(weights, 1e-9)
     for epoch in range(epochs):
         order = rng.permutation(len(docs))
         for lo in range(0, len(order), batch):
@@ -218,9 +220,9 @@ def train(
             grad = d_row[at, None] * direction.astype(np.float32)
             squares[at] += (grad**2).mean(axis=1, keepdims=True)
             table[at] -= step * grad / np.sqrt(squares[at])
-            # Small steps at unit length: a turn of the softmax would turn every row's say.
-            weights += TURN * step * np.stack([d_weights, -d_weights], axis=1)
-            weights /= np.linalg.norm(weights[:, 1] - weights[:, 0])
+            both = np.stack([-d_weights, d_weights], axis=1)
+            turned += both**2
+            weights -= TURN * step * both / np.sqrt(turned)
             odds -= 0.1 * float(d_z.sum())
     common = {w: float(weight[i]) for w, i in words.items() if weight[i] < 0.98}
     return Model(table, weights, np.array([-odds / 2, odds / 2], np.float32), common)
@@ -268,21 +270,22 @@ def training_texts(
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text", kept: int = 300_000) -> DataFrame:
     """``docs`` with ``_score`` (0 to 1, higher: toxic likelier), all rows and
     columns.  Words are split at white space; a null, empty or blank text gets one
-    empty segment's score.  Whole texts are read; repeated rows score alike.
+    empty segment's score.  Whole texts are read; repeated rows score alike.  Bytes that
+    are no UTF-8 read as U+FFFD.
 
     A task keeps what it knows of up to ``kept`` different words.
     """
     small_batches(docs.sparkSession)
     names = docs.columns
     rows = docs.toDF(*(f"_c{i}" for i in range(len(names))))
-    rows = rows.withColumn("_text", F.col(f"_c{names.index(text)}"))
+    rows = rows.withColumn("_text", F.col(f"_c{names.index(text)}").cast("binary"))
     schema = rows.drop("_text").schema.add("_score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # ROWS x SIZE numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value, kept)
         for b in batches:
-            scores = scorer.scores(b.column("_text").to_pylist())
+            scores = scorer.scores([t.decode("utf-8", "replace") if t else None for t in b.column("_text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores)], names=schema.names)
 
     return rows.mapInArrow(run, schema).toDF(*names, "_score")

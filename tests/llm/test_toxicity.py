@@ -37,6 +37,18 @@ def test_held_out_accuracy(model):
     assert sum((score(model, t) >= 0.5) == y for t, y in new) > 0.97 * len(new)
 
 
+def test_embeddings_have_full_rank(model):
+    """Rows are vectors, not multiples of one direction, and the softmax has turned."""
+    rows = model.table[np.abs(model.table).sum(axis=1) > 0]
+    values = np.linalg.svd(rows, compute_uv=False)
+    assert len(values) == T.SIZE and (values[1:] > 0.005 * values[0]).all()
+    first = np.random.default_rng(1)
+    first.permutation(0)
+    direction = model.weights[:, 1] - model.weights[:, 0]
+    start = np.diff(first.normal(0, T.SIZE**-0.5, (T.SIZE, 2)), axis=1)[:, 0]
+    assert direction @ start / np.linalg.norm(direction) / np.linalg.norm(start) < 0.999
+
+
 def test_unseen_forms(model):
     """Inflections and misspellings that training never saw."""
     new = [" ".join(f"{w} {t}" for w in ("kalo", "miren")) for t in ("zorraxes", "quibbler,", "zorraxx", "QUIBBLED!")]
