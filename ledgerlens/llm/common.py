@@ -65,3 +65,28 @@ def row_key(*columns: Column) -> list[Column]:
     copies get equal results.  Never null."""
     flags = [c.isNull() for c in columns]
     return [F.xxhash64(F.lit(1), *columns, *flags).alias("k1"), F.xxhash64(*reversed(columns), F.lit(2), *flags).alias("k2")]
+
+
+FILTER_BITS = 27  # 16 MB, whatever the number of keys
+
+
+def key_filter(keys: DataFrame) -> DataFrame:
+    """``(bucket, bits)``: a bitmap of ``2 ** FILTER_BITS`` bits with the bit of each ``k1``
+    set, cut into rows of 4 KB, written to the shared folder.  Its size has a fixed bound,
+    so it may be broadcast."""
+    at = F.pmod(F.col("k1"), F.lit(1 << FILTER_BITS)) + 1
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+    return shared_table(keys.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(bits), "filter")
+
+
+def split_by_keys(df: DataFrame, k1: Column, bitmap: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``k1`` may be a key of the filter, and those whose certainly
+    is none.  The second need not meet the keys in a join, so they are not shuffled.
+    ``df`` has no columns named ``_bucket``, ``_bits`` or ``_place``."""
+    at = F.pmod(k1, F.lit(1 << FILTER_BITS)) + 1
+    parts = F.broadcast(bitmap.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits")))
+    rows = df.withColumn("_place", at).join(parts, F.bitmap_bucket_number("_place") == F.col("_bucket"), "left")
+    position = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), position % 8).cast("int")) != 0, F.lit(False))
+    return rows.where(found).select(*df.columns), rows.where(~found).select(*df.columns)

@@ -155,7 +155,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _overlaps() -> str:
-    span, frame, share = decontamination.SPAN, decontamination.FRAME, decontamination.SHARE
+    span, frame, share, run, shortest = (getattr(decontamination, n) for n in ("SPAN", "FRAME", "SHARE", "RUN", "SHORTEST"))
     hashes = [
         f"concat_ws(' ', '{n}', " + ", ".join(f"ws[p + {k + 1}]" for k, c in enumerate(mask) if c == "1") + ")"
         for n, mask in enumerate(decontamination.MASKS)
@@ -166,19 +166,27 @@ WITH texts AS (
     SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws FROM documents
 ), items AS (
     SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws FROM benchmark
+), short AS (SELECT item_id, ws, len(ws) AS n FROM items WHERE len(ws) BETWEEN {shortest} AND {span - 1}
 ), seeds AS (
     SELECT item_id, unnest({seeds}) AS h, greatest(0, least(p - {(frame - span) // 2}, len(ws) - {frame})) AS first, p, ws
     FROM (SELECT *, unnest(range(len(ws) - {span} + 1)) AS p FROM items)
-), frames AS (SELECT DISTINCT h, item_id, first - p AS off, ws[first + 1 : first + {frame}] AS frame FROM seeds
+), frames AS (
+    SELECT DISTINCT h, item_id, first - p AS off, ws[first + 1 : first + {frame}] AS frame FROM seeds
+    UNION SELECT 'whole ' || array_to_string(ws, ' '), item_id, 0, ws FROM short
 ), places AS (
     SELECT doc_id, p, unnest({seeds}) AS h FROM (SELECT *, unnest(range(len(ws) - {span} + 1)) AS p FROM texts)
+    UNION ALL
+    SELECT doc_id, p, 'whole ' || array_to_string(ws[p + 1 : p + n], ' ')
+    FROM (SELECT doc_id, ws, n, unnest(range(len(ws) - n + 1)) AS p FROM texts, (SELECT DISTINCT n FROM short))
 ), hits AS (SELECT DISTINCT doc_id, item_id, p + off AS start, frame FROM places JOIN frames USING (h)
-), counted AS (
-    SELECT doc_id, item_id, len(frame) AS size,
-           len(list_filter(range(len(frame)), lambda k: start + k >= 0 AND ws[start + k + 1] = frame[k + 1])) AS same
+), compared AS (
+    SELECT doc_id, item_id, len(frame) AS size, array_to_string(list_transform(range(len(frame)),
+           lambda k: CASE WHEN start + k >= 0 AND ws[start + k + 1] = frame[k + 1] THEN '1' ELSE '0' END), '') AS same
     FROM hits JOIN texts USING (doc_id)
 )
-SELECT doc_id, item_id, count(*) AS n_frames, max(same) AS best FROM counted WHERE 100 * same >= {share} * size GROUP BY doc_id, item_id
+SELECT doc_id, item_id, count(*) AS n_frames, max(length(replace(same, '0', ''))) AS best FROM compared
+WHERE 100 * length(replace(same, '0', '')) >= {share} * size OR contains(same, '{"1" * run}')
+GROUP BY doc_id, item_id
 """
 
 

@@ -20,15 +20,20 @@ def plain(docs, items):
         for i, item in items:
             b = words(item)
             frames = {}
+            if D.SHORTEST <= len(b) < SPAN:
+                for p in range(len(w) - len(b) + 1):
+                    if w[p : p + len(b)] == b:
+                        frames[(p, tuple(b))] = len(b)
             for at in range(len(b) - SPAN + 1):
                 n = min(FRAME, len(b))
                 begin = max(0, min(at - (FRAME - SPAN) // 2, len(b) - n))
                 for p in range(len(w) - SPAN + 1):
                     if any(all(w[p + k] == b[at + k] for k in ks) for ks in places):
                         start = p + begin - at
-                        same = sum(0 <= start + k < len(w) and w[start + k] == b[begin + k] for k in range(n))
-                        if 100 * same >= SHARE * n:
-                            frames[(start, tuple(b[begin : begin + n]))] = same
+                        equal = [0 <= start + k < len(w) and w[start + k] == b[begin + k] for k in range(n)]
+                        in_a_row = any(all(equal[k : k + D.RUN]) for k in range(n - D.RUN + 1))
+                        if 100 * sum(equal) >= SHARE * n or in_a_row:
+                            frames[(start, tuple(b[begin : begin + n]))] = sum(equal)
             if frames:
                 out[(d, i)] = (len(frames), max(frames.values()))
     return out
@@ -62,6 +67,36 @@ def test_equals_pairwise(spark, monkeypatch, bound):
     assert {r.doc_id for r in drop_contaminated(a, b).collect()} == {d for d, _ in docs} - dirty
 
 
+def test_short_items_and_partial_passages(spark):
+    """A verbatim eight-word item, and ten to fifteen words in a row of a longer one; fewer
+    words in a row, a changed word of a short item and items of a few words find nothing."""
+    long = [f"v{k}" for k in range(40)]
+    items = [(1, "one two three four five six seven eight"), (2, " ".join(long)), (3, "ordinary language words"), (4, "Four words, that match.")]
+    docs = [
+        (1, "before ONE two, three four five six seven eight after"), (2, "one two three four five six seven other"),
+        *((10 + n, "x y z " + " ".join(long[7 : 7 + n]) + " u v w") for n in range(6, 16)),
+        (30, "some ordinary language words here"), (31, "four words that match"), (32, "four words that"),
+    ]
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(1, 1), (31, 4), *((10 + n, 2) for n in range(10, 16))}
+    for bound in (D.BROADCAST_BYTES, 0):
+        D.BROADCAST_BYTES, kept = bound, D.BROADCAST_BYTES
+        try:
+            assert {(r.doc_id, r.item) for r in overlaps(a, b).collect()} == want
+        finally:
+            D.BROADCAST_BYTES = kept
+
+
+def test_whole_texts_are_not_shuffled(documents, spark):
+    """Below the bound the exchanges hold hits only."""
+    items = spark.createDataFrame([(1, " ".join("abcdefghijklmnop"))], "item_id long, text string")
+    plan = overlaps(documents, items)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "text" not in line and "_w" not in line
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_substituted_passages_are_found(spark):
     rng = random.Random(9)
     items = [(i, " ".join(f"v{rng.randrange(900)}" for _ in range(30))) for i in range(30)]
