@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import WORD_CHAR, row_key, shared_table
+from ledgerlens.llm.common import WORD_CHAR, key_filter, row_key, shared_table, split_by_keys
 
 
 def _worded(text: Column) -> Column:
@@ -49,7 +49,9 @@ def line_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", width: i
 
     Windows are aggregated to their first place per hash, partially before the
     shuffle.  Only hashes that repeat are joined back, from a written table, so
-    that a window that a third of all texts hold is split over tasks.
+    that a window that a third of all texts hold is split over tasks.  Texts meet their
+    cuts by key; those whose key is not in a filter of fixed size have none and are not
+    shuffled.
     """
     names = docs.columns
     inner = [f"_c{i}" for i in range(len(names))]
@@ -60,9 +62,12 @@ def line_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", width: i
     first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     first = shared_table(first, "first-windows")
     repeats = found.join(first, ["h1", "h2"]).where(place > F.col("first"))
-    cuts = repeats.groupBy("k1", "k2").agg(F.collect_set("at").alias("_cuts"))
+    cuts = shared_table(repeats.groupBy("k1", "k2").agg(F.collect_set("at").alias("_cuts")), "cuts")
     k1, k2 = row_key(F.col(key), F.col(body))
-    joined = rows.withColumns({"k1": k1, "k2": k2}).join(cuts, ["k1", "k2"], "left")
+    rows = rows.withColumns({"k1": k1, "k2": k2})
+    maybe, whole = split_by_keys(rows, F.col("k1"), key_filter(cuts))
+    joined = maybe.join(cuts, ["k1", "k2"], "left").select(*inner, "_cuts")
+    joined = joined.unionByName(whole.select(*inner, F.lit(None).cast("array<int>").alias("_cuts")))
     # Fresh select so that the lines are computed once, not per element below.
     joined = joined.select(
         *inner, "_cuts", F.split(F.coalesce(F.col(body), F.lit("")), "\n", -1).alias("_all"), _worded(F.col(body))["i"].alias("_i")
