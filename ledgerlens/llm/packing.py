@@ -46,18 +46,22 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Token ids of whole texts, as the tokenizer file gives them without added
-    special tokens; strings of special tokens in a text are ordinary text.
+    """Token ids of whole texts, as the tokenizer file gives them without adding
+    special tokens; where a text itself holds one of the file's added tokens, that is
+    the token's id.
 
     A byte-level vocabulary whose ids are its merge order is also loaded as ranks:
     ``tiktoken`` encodes those some four times faster, to the same ids.  Texts with
     letters beyond U+052F (whose classes differ between Unicode versions) or with very
-    long runs go through ``tokenizers``, as do all texts for other files."""
+    long runs, or with an added token, go through ``tokenizers``, as do all texts for other
+    files."""
 
     _odd = re.compile(r"[^\x00-\u052f]")
     _long = 1000
 
     def _plain(self, text: str) -> bool:
+        if any(t in text for t in self.added):
+            return False
         lengths = [len(w) for w in text.split()]
         if lengths and max(lengths) >= self._long or len(text) - sum(lengths) - len(lengths) >= self._long:
             return False
@@ -72,13 +76,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.ranks = None
         spec = json.loads(self.tokenizer.to_str())
         first, model = spec["pre_tokenizer"] or {}, spec["model"]
         byte_level = first.get("type") == "ByteLevel" and first.get("use_regex") and not first.get("add_prefix_space")
         if byte_level and model["type"] == "BPE" and not spec["normalizer"] and not model["dropout"]:
-            special = {t["content"] for t in spec["added_tokens"]}
+            self.added = special = {t["content"] for t in spec["added_tokens"]}
             letters = _byte_letters()
             ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
             merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
@@ -106,9 +109,10 @@ def token_pieces(
     """``(id, piece, start, length, ids_crc32)``: a document's ids, then
     ``end_id``, cut into pieces of ``capacity`` if there are more; the first piece
     takes the rest.  A null or empty text is the end id alone.  Rows are taken as
-    they come: a repeated id is another document."""
+    they come: a repeated id is another document.  Bytes that are no UTF-8 read as
+    U+FFFD."""
     small_batches(docs.sparkSession)
-    rows = narrow(docs, id, text).select(F.col(id), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = narrow(docs, id, text).select(F.col(id), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
     schema = rows.drop("_text").schema
     for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")):
         schema = schema.add(name, kind)
@@ -119,7 +123,7 @@ def token_pieces(
         for b in batches:
             at, piece, start, length, crc = [], [], [], [], []
             for row, t in enumerate(b.column("_text").to_pylist()):
-                ids = memoryview(own.encode(t) + end)
+                ids = memoryview(own.encode(t.decode("utf-8", "replace")) + end)
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or min(n, capacity), n + 1, capacity)]
                 for k, (lo, hi) in enumerate(pairwise(cuts)):

@@ -123,7 +123,7 @@ def token_counts(
         known: dict[bytes, int] = {}  # pieces, 0 for unknown words
 
         def count(word: bytes) -> int:
-            n = automaton.count(word.decode()) or 0
+            n = automaton.count(word.decode("utf-8", "replace")) or 0
             if len(word) <= 64:
                 known[word] = n
             return n

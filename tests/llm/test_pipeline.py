@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from ledgerlens.llm.common import shared_table
@@ -85,6 +86,24 @@ def test_odd_documents(spark, odd):
     assert docs.count() > 0
 
 
+def test_clashing_columns(spark, odd):
+    """Names that a stage uses for itself, and one that differs in case only."""
+    docs = odd.drop("_score", "DOC_ID_")
+    for clash in ("_removed", "_lines", "n_chars", "c0", "hash", "_w", "_place", "component_id"):
+        docs = docs.withColumn(clash, F.lit("7"))
+    docs = docs.withColumnRenamed("fp", "TEXT")
+    for name, stage in P.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and 0 < out.count() <= docs.count()
+    assert P.STAGES[4][1](spark, docs, SF).count() >= docs.count()
+
+
+def test_bytes_that_are_no_utf8(spark, odd):
+    bad = odd.drop("_score", "DOC_ID_").withColumn("text", F.expr("cast(X'6120FF2062' AS string)"))
+    for name, stage in P.STAGES:
+        assert stage(spark, bad, SF).count() > 0
+
+
 def test_run(spark, steps):
     ids = {r.doc_id for r in P.run(spark, SF).select("doc_id").collect()}
     assert ids == {r.doc_id for r in steps[4].select("doc_id").collect()}

@@ -60,3 +60,10 @@ def test_random_vocabulary():
         pieces = {"".join(rng.choice("xy") for _ in range(rng.randint(1, 6))) for _ in range(8)} | {"x", "y"}
         word = "".join(rng.choice("xy") for _ in range(60))
         assert Automaton(pieces, pieces).count(word) == greedy(word, pieces, pieces)
+
+
+def test_bytes_that_are_no_utf8(spark):
+    """They count as the replacement character, which the vocabulary can't spell."""
+    df = spark.sql("SELECT 1L AS doc_id, cast(X'6120FF2062' AS string) AS text")
+    r = token_counts(df, ["a"], ["a", "b"]).first()
+    assert (r.n_words, r.n_unknown) == (3, 1)
