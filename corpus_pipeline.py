@@ -25,12 +25,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line passages go from the texts; every document
-    stays, one that was nothing else with an empty text.  ``n_chars`` follows."""
-    cut = F.size("_removed") > 0
-    clean = line_dedup(docs)
-    if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    stays, one that was nothing else with an empty text.  ``n_chars`` follows.  Columns
+    are taken by position: others may have any names."""
+    names = docs.columns
+    inner = [f"c{i}" for i in range(len(names))]
+    text = inner[names.index("text")]
+    clean = line_dedup(docs.toDF(*inner), inner[names.index("doc_id")], text)
+    if "n_chars" in names:
+        at = names.index("n_chars")
+        follows = F.when(F.size("_removed") > 0, F.length(text)).otherwise(F.col(inner[at]))
+        clean = clean.withColumn(inner[at], follows.cast(docs.schema[at].dataType))
+    return clean.select(*inner).toDF(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
