@@ -65,5 +65,5 @@ def test_random_vocabulary():
 def test_bytes_that_are_no_utf8(spark):
     """They count as the replacement character, which the vocabulary can't spell."""
     df = spark.sql("SELECT 1L AS doc_id, cast(X'6120FF2062' AS string) AS text")
-    r = token_counts(df, ["a"], ["a", "b"]).first()
+    r = token_counts(df, ["a", "b"], ["a", "b"]).first()
     assert (r.n_words, r.n_unknown) == (3, 1)
