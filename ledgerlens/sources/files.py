@@ -19,7 +19,8 @@ def read_payload_files(spark: SparkSession, path: str, key_col: str = "key") ->
     an API).  Returns ``key`` (the file path) and ``body`` (the raw text),
     the shape the payload operators take; parsing happens there, with an
     explicit schema, so malformed documents become nulls instead of failing
-    the job."""
+    the job.  A file is read whole into one row: for documents of up to some tens of
+    megabytes; larger exports belong in JSON lines."""
     df = spark.read.text(path, wholetext=True)
     return df.select(F.input_file_name().alias(key_col), F.col("value").alias("body"))
 
