@@ -21,6 +21,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from ledgerlens.llm.common import narrow, shared_table, small_batches
 WORDS, BUCKETS = 3840, 256
 TOKENS = WORDS + BUCKETS
 WINDOW, SIZE, CLASSES = 3, 32, 64
-ROUNDS, BATCH = 2, 2048
+ROUNDS, BATCH = 2, 4096
 # Words whose counts every task holds; all others are joined from the table.  A word
 # beyond them has at most about 1 in KEPT of all tokens, so no key of the join is hot.
 KEPT = 200_000
@@ -213,6 +214,14 @@ def log_probabilities(p: np.ndarray, vocab: Vocabulary, tokens: np.ndarray, plac
     return out
 
 
+class _Numbers(dict):
+    """Words in order of their first look-up."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        return at
+
+
 class Trainer:
     """Adagrad steps over one task's texts."""
 
@@ -245,7 +254,7 @@ class Trainer:
             scales = np.empty((len(PLACES), SIZE), np.float32)
             for k, off in enumerate(PLACES):
                 there = slice(WINDOW + off, WINDOW + off + n)
-                scales[k] = np.multiply(d, vectors[:, there], out=part).sum(axis=1)
+                scales[k] = np.einsum("ij,ij->i", d, vectors[:, there])
                 wide[:, there] += np.multiply(d, p[SCALES + k][:, None], out=part)
                 times[there] += asked
             # Tokens fit 16 bits, which sort in linear time.
@@ -278,21 +287,21 @@ def token_table(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shares = shared.value
-        known: dict[str, int] = {}
+        known = _Numbers()
         tokens, share = np.zeros(0, np.int16), np.zeros(0)  # of the known words
         for b in batches:
             texts = [_words(t) for t in b.column("_text").to_pylist()]
             if len(known) > 300_000:
-                known, tokens, share = {}, tokens[:0], share[:0]
-            if new := list({w for t in texts for w in t}.difference(known)):
-                known.update(zip(new, range(len(known), len(known) + len(new))))
+                known, tokens, share = _Numbers(), tokens[:0], share[:0]
+            n = np.array([len(t) for t in texts], np.int64)
+            ends = np.cumsum(n)
+            at = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, int(n.sum()))
+            if len(known) > len(tokens):
+                new = list(islice(known, len(tokens), None))
                 ids = np.array(words.ids(new, {}), np.int16)
                 tokens = np.concatenate((tokens, ids))
                 added = [0.0 if i < WORDS else shares.get(w, np.nan) for w, i in zip(new, ids.tolist())] if by_word else np.zeros(len(new))
                 share = np.concatenate((share, added))
-            n = np.array([len(t) for t in texts], np.int64)
-            ends = np.cumsum(n)
-            at = np.fromiter((known[w] for t in texts for w in t), np.int64, int(n.sum()))
             extra = share[at]
             left: list[list[str]] = [[] for _ in texts]
             for place in np.flatnonzero(np.isnan(extra)):
