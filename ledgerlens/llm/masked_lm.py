@@ -18,13 +18,12 @@ every round, while the driver only sees the model, whose size is fixed.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, ShortType, StringType, StructField, StructType
@@ -68,28 +67,42 @@ def _words(text: bytes | None) -> list[str]:
     return text.decode("utf-8", "replace").split() if text else []
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``_words`` of all texts, one after the other, and how many each has."""
+    try:
+        texts = texts.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        texts = pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+    lists = pc.utf8_split_whitespace(texts)
+    words, n = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    blank = np.flatnonzero(pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False))
+    if len(blank):  # before and after a text's words
+        n -= np.bincount(np.searchsorted(np.cumsum(n), blank, "right"), minlength=len(n))
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+    return words, n
+
+
 def _lower(docs: DataFrame, text: str) -> DataFrame:
     return narrow(docs, text).select(F.lower(F.col(text)).cast("binary").alias("_text"))
 
 
-def word_counts(docs: DataFrame, text: str = "text", held: int = 500_000) -> DataFrame:
-    """``(w, n)`` of every word of all texts, as a written table.  A task counts up to
-    ``held`` different words before it hands them on, so a frequent word costs the
-    shuffle a row per task."""
+def word_counts(docs: DataFrame, text: str = "text", held: int = 4_000_000) -> DataFrame:
+    """``(w, n)`` of every word of all texts, as a written table.  A task gathers about
+    ``held`` words before it counts them and hands the counts on, so a frequent word
+    costs the shuffle a row per task."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        gathered: list[pa.Array] = []
 
         def handed() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["w", "n"])
-            counts.clear()
-            return out
+            counts = pa.chunked_array(gathered, pa.string()).value_counts()
+            gathered.clear()
+            return pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["w", "n"])
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                counts.update(_words(t))
-            if len(counts) > held:
+            gathered.append(split(b.column(0))[0])
+            if sum(map(len, gathered)) > held:
                 yield handed()
         yield handed()
 
@@ -178,27 +191,27 @@ def spaced(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def hidden(p: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For a run of tokens that begins and ends with WINDOW places more: the tokens'
-    vectors and the units of the places between, a column per place."""
+    vectors and the units of the places between, a column per place, above a row of ones."""
     n = len(run) - 2 * WINDOW
     vectors = np.ascontiguousarray(p.take(run, axis=0).T)
-    h = vectors[:, :n] * p[SCALES][:, None]
+    units = np.ones((SIZE + 1, n), np.float32)
+    h = units[:SIZE]
+    np.multiply(vectors[:, :n], p[SCALES][:, None], out=h)
     part = np.empty_like(h)
     for k, d in enumerate(PLACES[1:], 1):
         h += np.multiply(vectors[:, WINDOW + d : WINDOW + d + n], p[SCALES + k][:, None], out=part)
-    return vectors, np.tanh(h, out=h)
+    np.tanh(h, out=h)
+    return vectors, units
 
 
-def exponents(h: np.ndarray, u: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each place (a column) the classes' scores, less a constant, and their
-    exponents.  Units lie between -1 and 1, which bounds the scores; only where the
-    bounds are far apart is each place's own maximum taken."""
-    z, reach = u.T @ h, np.abs(u).sum(axis=0)
-    if (c + reach).max() - (c - reach).min() < 80:
-        z += (c - (c + reach).max())[:, None]
-    else:
-        z += c[:, None]
-        z -= z.max(axis=0)
-    return z, np.exp(z)
+def class_scores(units: np.ndarray, u: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Of each place (a column) the classes' scores, less a constant: small enough for
+    their exponentials.  Units lie between -1 and 1, which bounds the scores; only where
+    the bounds are far apart is each place's own maximum taken."""
+    reach = np.abs(u).sum(axis=0)
+    near = (c + reach).max() - (c - reach).min() < 80
+    z = np.concatenate([u, [c - (c + reach).max() if near else c]]).T @ units
+    return z if near else z - z.max(axis=0)
 
 
 def log_probabilities(p: np.ndarray, vocab: Vocabulary, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -208,20 +221,13 @@ def log_probabilities(p: np.ndarray, vocab: Vocabulary, tokens: np.ndarray, plac
     for lo in range(0, len(places), BATCH):
         at = places[lo : lo + BATCH]
         _, h = hidden(p, tokens[at[0] - WINDOW : at[-1] + WINDOW + 1])
-        z, e = exponents(h, u, c)
+        z = class_scores(h, u, c)
         own, place = tokens[at], at - at[0]
-        out[lo : lo + BATCH] = z[vocab.classes[own], place] - np.log(e.sum(axis=0))[place] + vocab.inside[own]
+        out[lo : lo + BATCH] = z[vocab.classes[own], place] + vocab.inside[own]
+        out[lo : lo + BATCH] -= np.log(np.exp(z, out=z).sum(axis=0))[place]
     return out
 
 
-class _Numbers(dict):
-    """Words in order of their first look-up."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = at = len(self)
-        return at
-
-
 class Trainer:
     """Adagrad steps over one task's texts."""
 
@@ -241,13 +247,15 @@ class Trainer:
             run, n = tokens[at[0] - WINDOW : at[-1] + WINDOW + 1], int(at[-1] - at[0]) + 1
             asked = np.zeros(n, np.int32)
             asked[at - at[0]] = 1
-            vectors, h = hidden(p, run)
+            vectors, units = hidden(p, run)
+            h = units[:SIZE]
             u, c = _output(p)
-            _, g = exponents(h, u, c)
+            g = class_scores(units, u, c)
+            np.exp(g, out=g)
             g *= (asked / g.sum(axis=0)).astype(np.float32)  # nothing where nothing is asked
             g[self.vocab.classes[tokens[at]], at - at[0]] -= 1
             # Back from the places to the tokens around them: one column per token of the run.
-            out, bias = h @ g.T, g.sum(axis=1)
+            out = units @ g.T  # the last row is the biases'
             d = u @ g
             d *= 1 - np.multiply(h, h, out=h)
             wide, times, part = np.zeros_like(vectors), np.zeros(len(run), np.int32), np.empty_like(d)
@@ -257,15 +265,12 @@ class Trainer:
                 scales[k] = np.einsum("ij,ij->i", d, vectors[:, there])
                 wide[:, there] += np.multiply(d, p[SCALES + k][:, None], out=part)
                 times[there] += asked
-            # Tokens fit 16 bits, which sort in linear time.
-            order = np.argsort(run.astype(np.int16), kind="stable")
-            begin = np.flatnonzero(np.diff(run[order], prepend=-1))
-            rows, grad = run[order[begin]], np.add.reduceat(np.ascontiguousarray(wide.T).take(order, axis=0), begin, axis=0)
-            times = np.add.reduceat(times[order], begin)
-            met = (rows < TOKENS) & (times > 0)  # padding stays zero
-            self._step(rows[met], grad[met] / len(at))
-            self.used[rows] += times
-            rest = np.concatenate([scales, out.reshape(-1, SIZE), bias.reshape(-1, SIZE)]) / len(at)
+            used = np.bincount(run, times, TOKENS + 1)
+            rows = np.flatnonzero(used[:TOKENS])  # padding stays zero
+            grad = np.stack([np.bincount(run, unit, TOKENS + 1)[rows] for unit in wide], axis=1)
+            self._step(rows, (grad / len(at)).astype(np.float32))
+            self.used[: TOKENS + 1] += used
+            rest = np.concatenate([scales, out.reshape(-1, SIZE)]) / len(at)
             self._step(np.arange(SCALES, PARAMETERS), rest.astype(np.float32))
             self.used[SCALES:] += len(at)
 
@@ -287,26 +292,17 @@ def token_table(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shares = shared.value
-        known = _Numbers()
-        tokens, share = np.zeros(0, np.int16), np.zeros(0)  # of the known words
         for b in batches:
-            texts = [_words(t) for t in b.column("_text").to_pylist()]
-            if len(known) > 300_000:
-                known, tokens, share = _Numbers(), tokens[:0], share[:0]
-            n = np.array([len(t) for t in texts], np.int64)
+            flat, n = split(b.column("_text"))
             ends = np.cumsum(n)
-            at = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, int(n.sum()))
-            if len(known) > len(tokens):
-                new = list(islice(known, len(tokens), None))
-                ids = np.array(words.ids(new, {}), np.int16)
-                tokens = np.concatenate((tokens, ids))
-                added = [0.0 if i < WORDS else shares.get(w, np.nan) for w, i in zip(new, ids.tolist())] if by_word else np.zeros(len(new))
-                share = np.concatenate((share, added))
-            extra = share[at]
-            left: list[list[str]] = [[] for _ in texts]
+            coded = flat.dictionary_encode()  # each word of the batch is looked up once
+            at, new = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            tokens = np.array(words.ids(new, {}), np.int16)
+            added = [0.0 if i < WORDS else shares.get(w, np.nan) for w, i in zip(new, tokens.tolist())] if by_word else np.zeros(len(new))
+            extra = np.array(added, float)[at]
+            left: list[list[str]] = [[] for _ in n]
             for place in np.flatnonzero(np.isnan(extra)):
-                k = int(np.searchsorted(ends, place, "right"))
-                left[k].append(texts[k][place - ends[k] + n[k]])
+                left[int(np.searchsorted(ends, place, "right"))].append(new[at[place]])
             total = np.concatenate(([0], np.cumsum(np.nan_to_num(extra))))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(tokens[at], pa.int16()))
             columns = [b.column(id), pa.array(n), lists, pa.array(total[ends] - total[ends - n]), pa.array(left, pa.list_(pa.string()))]

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import masked_lm as M
@@ -166,3 +167,20 @@ def test_every_word_counts(spark):
             ids = vocab.ids(r.text.split(), {})
             more = sum(np.log(n[w] / vocab.rare[i - M.WORDS]) for w, i in zip(r.text.split(), ids) if i >= M.WORDS)
             assert abs(whole[r.doc_id].log_likelihood - base[r.doc_id].log_likelihood - more) < 1e-6
+
+
+def test_words_split_as_str_split():
+    """Every character separates words, or does not, as ``str.split`` has it."""
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    words, n = M.split(pa.array([t.encode() for t in texts], pa.binary()))
+    assert n.tolist() == [len(t.split()) for t in texts] and words.to_pylist() == [w for t in texts for w in t.split()]
+    odd = [b"", None, b" ", b"a", b" a  b ", "\u00e9 b\n".encode(), b"a a"]
+    for rows in (odd, [*odd, b"\xff x \xc3"], odd[:3], []):
+        words, n = M.split(pa.array(rows, pa.binary()))
+        want = [M._words(r) for r in rows]
+        assert n.tolist() == list(map(len, want)) and words.to_pylist() == [w for t in want for w in t]
+
+
+def test_counts_handed_on_in_parts(corpus):
+    whole = {r.w: r.n for r in M.word_counts(corpus).collect()}
+    assert {r.w: r.n for r in M.word_counts(corpus, held=50).collect()} == whole
