@@ -292,20 +292,27 @@ def token_table(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shares = shared.value
+        held = pa.array([*words.index, *shares], pa.string())
+        token_of = np.array([*words.index.values(), *words.ids(list(shares), {})], np.int16)
+        share_of = np.array([*[0.0] * len(words.index), *shares.values()])
+        unknown = np.nan if by_word else 0.0
         for b in batches:
             flat, n = split(b.column("_text"))
             ends = np.cumsum(n)
             coded = flat.dictionary_encode()  # each word of the batch is looked up once
-            at, new = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-            tokens = np.array(words.ids(new, {}), np.int16)
-            added = [0.0 if i < WORDS else shares.get(w, np.nan) for w, i in zip(new, tokens.tolist())] if by_word else np.zeros(len(new))
-            extra = np.array(added, float)[at]
-            left: list[list[str]] = [[] for _ in n]
-            for place in np.flatnonzero(np.isnan(extra)):
-                left[int(np.searchsorted(ends, place, "right"))].append(new[at[place]])
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            found = pc.fill_null(pc.index_in(coded.dictionary, held), -1).to_numpy(zero_copy_only=False)
+            tokens, added = np.empty(len(found), np.int16), np.full(len(found), unknown)
+            other = found < 0
+            tokens[~other], added[~other] = token_of[found[~other]], share_of[found[~other]]
+            tokens[other] = words.ids(coded.dictionary.filter(pa.array(other)).to_numpy(zero_copy_only=False).tolist(), {})
+            extra = added[at]
+            joined = np.flatnonzero(np.isnan(extra))
+            until = np.searchsorted(joined, np.concatenate(([0], ends)))  # of each text's words that are joined
+            left = pa.ListArray.from_arrays(pa.array(until, pa.int32()), coded.dictionary.take(pa.array(at[joined])))
             total = np.concatenate(([0], np.cumsum(np.nan_to_num(extra))))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(tokens[at], pa.int16()))
-            columns = [b.column(id), pa.array(n), lists, pa.array(total[ends] - total[ends - n]), pa.array(left, pa.list_(pa.string()))]
+            columns = [b.column(id), pa.array(n), lists, pa.array(total[ends] - total[ends - n]), left]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(run, schema), others
