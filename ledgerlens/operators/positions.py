@@ -84,7 +84,7 @@ def open_position_code_chunks(t: Tables, scope: Scope, most: int = 1000) -> Data
     return chunks.select(*pair, "chunk", "position_codes")
 
 
-def open_positions(t: Tables, scope: Scope, codes: bool = True) -> DataFrame:
+def open_positions(t: Tables, scope: Scope) -> DataFrame:
     """Per ``(user_id, order_symbol)``: summed quantity and cost, the sorted distinct
     position codes, ``open_price = cost / quantity`` (null when the net quantity is 0)
     and the ``date`` stamp (``scope.as_of``, else now).
@@ -92,8 +92,8 @@ def open_positions(t: Tables, scope: Scope, codes: bool = True) -> DataFrame:
     Rows are de-duplicated over the selected columns before summing, then
     summed as decimals and cast to double, so totals do not depend on order.
     The array ``position_code`` holds all codes of a pair, so it suits pairs whose codes
-    fit a row.  ``codes=False`` leaves it out; the codes are then rows of
-    ``open_position_codes`` or bounded arrays of ``open_position_code_chunks``.
+    fit a row; ``open_position_codes`` has them as rows, ``open_position_code_chunks`` in
+    bounded arrays.
     """
     rows = _open_rows(t, scope)
     as_of = F.lit(scope.as_of).cast("timestamp_ntz") if scope.as_of else F.localtimestamp()
@@ -101,14 +101,14 @@ def open_positions(t: Tables, scope: Scope, codes: bool = True) -> DataFrame:
     grouped = rows.where(F.col("order_symbol").isNotNull()).groupBy("user_id", "order_symbol").agg(
         F.sum("quantity").cast("double").alias("quantity"),
         F.sum("cost").cast("double").alias("cost"),
-        *([F.array_sort(F.collect_set("position_code")).alias("position_code")] if codes else []),
+        F.array_sort(F.collect_set("position_code")).alias("position_code"),
     )
     return grouped.select(
         "user_id",
         "order_symbol",
         "quantity",
         "cost",
-        *(["position_code"] if codes else []),
+        "position_code",
         F.try_divide(F.col("cost"), F.when(F.col("quantity") != 0, F.col("quantity"))).alias("open_price"),
         as_of.alias("date"),
     )

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from ledgerlens.operators.payloads import maps_as_json
@@ -35,3 +36,11 @@ def test_reports_scope_arguments(spark):
     assert r.scope == Scope(users="Customer#000000003", freq="MS")
     with pytest.raises(TypeError):
         BrokerageReports(E._tables(spark, SF_SMALL), Scope(), users="x")
+
+
+def test_registered_open_positions_hold_their_codes(spark):
+    q = E.queries()
+    held = q["open_positions"](spark, SF_SMALL).select("user_id", "order_symbol", F.explode("position_code"))
+    codes = [tuple(r) for r in q["open_position_codes"](spark, SF_SMALL).collect()]
+    assert codes and sorted(map(tuple, held.collect())) == sorted(codes)
+    assert "position_code" in E.oracle_sql()["open_positions"] and "EXCLUDE" not in E.oracle_sql()["open_positions"]
