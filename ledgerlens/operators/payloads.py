@@ -326,7 +326,10 @@ def payload_errors(payloads: DataFrame, kind: str, key_col: str, body_col: str =
         )
     first = _errors(F.when(~F.col("json"), _error(root, "no JSON", F.col("body"))), misshaped)
     rows = rows.select("key", F.when(F.col("json"), F.concat(first, _each(_parsed(F.col("items")), path, inner))).otherwise(first).alias("errors"))
-    return rows.select(F.lit(kind).alias("kind"), "key", F.inline("errors"))
+    # Not ``inline``: Spark infers a filter on the array's size from it and pushes that below
+    # the projections, where every document is parsed again, many times over.
+    found = rows.select(F.lit(kind).alias("kind"), "key", F.inline_outer("errors"))
+    return found.where("problem is not null")
 
 
 def maps_as_json(df: DataFrame) -> DataFrame:

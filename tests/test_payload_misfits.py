@@ -110,3 +110,14 @@ def test_wide_categories(spark):
     with pytest.raises(ValueError, match="more than 2"):
         P.account_categories_wide(first, most=2)
     assert P.account_categories_wide(docs(spark, "{}", key="user_id")).count() == 0
+
+
+@pytest.mark.parametrize("kind", P.DOCUMENT_KINDS)
+def test_no_filter_parses_the_documents_again(spark, kind):
+    from ledgerlens.plans.inspect import physical_plan
+
+    before = spark.conf.get("spark.sql.maxPlanStringLength")
+    spark.conf.set("spark.sql.maxPlanStringLength", str(10**6))
+    plan = physical_plan(P.payload_errors(docs(spark, '[{"a":1}]', "{}"), kind, "account_id"))
+    spark.conf.set("spark.sql.maxPlanStringLength", before)
+    assert plan.count("parseJson(") == 1 and plan.count("from_json") > 0
