@@ -34,9 +34,13 @@ WORDS, BUCKETS = 3840, 256
 TOKENS = WORDS + BUCKETS
 WINDOW, SIZE, CLASSES = 3, 32, 64
 ROUNDS, BATCH = 2, 4096
+# Units that a step sums at once: their columns of a batch stay in a core's cache.
+GROUP = 8
 # Words whose counts every task holds; all others are joined from the table.  A word
 # beyond them has at most about 1 in KEPT of all tokens, so no key of the join is hot.
 KEPT = 200_000
+# Bytes of texts whose words are looked up at once: each look-up hashes the kept words anew.
+GATHERED = 8 << 20
 PLACES = [k for k in range(-WINDOW, WINDOW + 1) if k]
 # One matrix holds all parameters, so that they average alike: an embedding per
 # token and one for padding, a scale per place, two rows of half the output per
@@ -196,11 +200,13 @@ def hidden(p: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     vectors = np.ascontiguousarray(p.take(run, axis=0).T)
     units = np.ones((SIZE + 1, n), np.float32)
     h = units[:SIZE]
-    np.multiply(vectors[:, :n], p[SCALES][:, None], out=h)
-    part = np.empty_like(h)
-    for k, d in enumerate(PLACES[1:], 1):
-        h += np.multiply(vectors[:, WINDOW + d : WINDOW + d + n], p[SCALES + k][:, None], out=part)
-    np.tanh(h, out=h)
+    part = np.empty((GROUP, n), np.float32)
+    for i in range(0, SIZE, GROUP):
+        some, sums, scales = vectors[i : i + GROUP], h[i : i + GROUP], p[SCALES:OUTPUT, i : i + GROUP, None]
+        np.multiply(some[:, :n], scales[0], out=sums)
+        for k, d in enumerate(PLACES[1:], 1):
+            sums += np.multiply(some[:, WINDOW + d : WINDOW + d + n], scales[k], out=part)
+        np.tanh(sums, out=sums)
     return vectors, units
 
 
@@ -237,50 +243,75 @@ class Trainer:
         self.used = np.zeros(PARAMETERS)
 
     def _step(self, rows: np.ndarray, grad: np.ndarray) -> None:
-        self.squares[rows] += (grad**2).mean(axis=1, keepdims=True)
-        self.p[rows] -= self.rate * grad / np.sqrt(self.squares[rows])
+        squares = self.squares[rows] + np.square(grad).mean(axis=1, keepdims=True)
+        self.squares[rows] = squares
+        self.p[rows] -= self.rate * grad / np.sqrt(squares)
 
     def learn(self, tokens: np.ndarray, places: np.ndarray) -> None:
         p = self.p
         for lo in range(0, len(places), BATCH):
             at = places[lo : lo + BATCH]
             run, n = tokens[at[0] - WINDOW : at[-1] + WINDOW + 1], int(at[-1] - at[0]) + 1
-            asked = np.zeros(n, np.int32)
-            asked[at - at[0]] = 1
+            place, asked = at - at[0], np.zeros(n, np.int32)
+            asked[place] = 1
             vectors, units = hidden(p, run)
             h = units[:SIZE]
             u, c = _output(p)
             g = class_scores(units, u, c)
             np.exp(g, out=g)
             g *= (asked / g.sum(axis=0)).astype(np.float32)  # nothing where nothing is asked
-            g[self.vocab.classes[tokens[at]], at - at[0]] -= 1
+            g.reshape(-1)[self.vocab.classes[tokens[at]] * n + place] -= 1
             # Back from the places to the tokens around them: one column per token of the run.
             out = units @ g.T  # the last row is the biases'
             d = u @ g
-            d *= 1 - np.multiply(h, h, out=h)
-            wide, times, part = np.zeros_like(vectors), np.zeros(len(run), np.int32), np.empty_like(d)
-            scales = np.empty((len(PLACES), SIZE), np.float32)
-            for k, off in enumerate(PLACES):
-                there = slice(WINDOW + off, WINDOW + off + n)
-                scales[k] = np.einsum("ij,ij->i", d, vectors[:, there])
-                wide[:, there] += np.multiply(d, p[SCALES + k][:, None], out=part)
-                times[there] += asked
+            times = np.zeros(len(run), np.int32)
+            for off in PLACES:
+                times[WINDOW + off : WINDOW + off + n] += asked
             used = np.bincount(run, times, TOKENS + 1)
             rows = np.flatnonzero(used[:TOKENS])  # padding stays zero
-            grad = np.stack([np.bincount(run, unit, TOKENS + 1)[rows] for unit in wide], axis=1)
-            self._step(rows, (grad / len(at)).astype(np.float32))
+            rank = np.full(TOKENS + 1, len(rows))
+            rank[rows] = np.arange(len(rows))
+            rank = rank[run]
+            grad, scales = np.empty((SIZE, len(rows)), np.float32), np.empty((len(PLACES), SIZE), np.float32)
+            wide, part = np.empty((GROUP, len(run)), np.float32), np.empty((GROUP, n), np.float32)
+            for i in range(0, SIZE, GROUP):
+                group = slice(i, i + GROUP)
+                back, unit = d[group], h[group]
+                np.multiply(unit, unit, out=unit)
+                back *= np.subtract(1, unit, out=unit)
+                wide[:] = 0
+                for k, off in enumerate(PLACES):
+                    there = slice(WINDOW + off, WINDOW + off + n)
+                    scales[k, group] = np.einsum("ij,ij->i", back, vectors[group, there])
+                    wide[:, there] += np.multiply(back, p[SCALES + k, group, None], out=part)
+                for own, parts in zip(grad[group], wide):
+                    own[:] = np.bincount(rank, parts, len(rows) + 1)[:-1] / len(at)
+            self._step(rows, np.ascontiguousarray(grad.T))
             self.used[: TOKENS + 1] += used
             rest = np.concatenate([scales, out.reshape(-1, SIZE)]) / len(at)
             self._step(np.arange(SCALES, PARAMETERS), rest.astype(np.float32))
             self.used[SCALES:] += len(at)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], held: int = GATHERED) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in larger ones, of up to ``held`` bytes; a batch beyond stays alone."""
+    some: list[pa.RecordBatch] = []
+    for b in batches:
+        if some and sum(x.nbytes for x in some) + b.nbytes > held:
+            yield pa.concat_batches(some)
+            some = []
+        some.append(b)
+    if some:
+        yield pa.concat_batches(some)
+
+
 def token_table(
     docs: DataFrame, vocab: Vocabulary, id: str = "doc_id", text: str = "text", counts: DataFrame | None = None, kept: int = KEPT
 ) -> tuple[DataFrame, DataFrame | None]:
-    """``(id, n_tokens, _ids, _more, _left)`` per row: the tokens of a text, what its words
-    add beyond their tokens, and the words whose counts must be joined from the second
-    table (see ``score``).  Words are split and looked up here, once."""
+    """``(id, n_tokens, _ids, _more, _left, _row)`` per row: the tokens of a text, what its
+    words add beyond their tokens, the words whose counts must be joined from the second
+    table (see ``score``), and the row's number, fixed once the table is written.  Words
+    are split and looked up here, once."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = narrow(docs, id, text).select(id, F.lower(F.col(text)).cast("binary").alias("_text"))
@@ -293,29 +324,26 @@ def token_table(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shares = shared.value
         held = pa.array([*words.index, *shares], pa.string())
-        token_of = np.array([*words.index.values(), *words.ids(list(shares), {})], np.int16)
-        share_of = np.array([*[0.0] * len(words.index), *shares.values()])
-        unknown = np.nan if by_word else 0.0
-        for b in batches:
+        token_of = np.array([*words.index.values(), *words.ids(list(shares), {}), 0], np.int16)
+        share_of = np.array([*[0.0] * len(words.index), *shares.values(), 0.0])  # the last: of no held word
+        for b in gathered(batches):
             flat, n = split(b.column("_text"))
             ends = np.cumsum(n)
-            coded = flat.dictionary_encode()  # each word of the batch is looked up once
-            at = coded.indices.to_numpy(zero_copy_only=False)
-            found = pc.fill_null(pc.index_in(coded.dictionary, held), -1).to_numpy(zero_copy_only=False)
-            tokens, added = np.empty(len(found), np.int16), np.full(len(found), unknown)
-            other = found < 0
-            tokens[~other], added[~other] = token_of[found[~other]], share_of[found[~other]]
-            tokens[other] = words.ids(coded.dictionary.filter(pa.array(other)).to_numpy(zero_copy_only=False).tolist(), {})
-            extra = added[at]
-            joined = np.flatnonzero(np.isnan(extra))
+            found = pc.fill_null(pc.index_in(flat, held), len(held)).to_numpy(zero_copy_only=False)
+            tokens, extra = token_of[found], share_of[found]
+            other = np.flatnonzero(found == len(held))
+            coded = flat.take(pa.array(other)).dictionary_encode()  # each word is hashed once
+            hashed = np.array(words.ids(coded.dictionary.to_pylist(), {}), np.int16)
+            tokens[other] = hashed[coded.indices.to_numpy(zero_copy_only=False)]
+            joined = other if by_word else other[:0]
             until = np.searchsorted(joined, np.concatenate(([0], ends)))  # of each text's words that are joined
-            left = pa.ListArray.from_arrays(pa.array(until, pa.int32()), coded.dictionary.take(pa.array(at[joined])))
-            total = np.concatenate(([0], np.cumsum(np.nan_to_num(extra))))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(tokens[at], pa.int16()))
+            left = pa.ListArray.from_arrays(pa.array(until, pa.int32()), flat.take(pa.array(joined)))
+            total = np.concatenate(([0], np.cumsum(extra)))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(tokens, pa.int16()))
             columns = [b.column(id), pa.array(n), lists, pa.array(total[ends] - total[ends - n]), left]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(run, schema), others
+    return rows.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), others
 
 
 def _numbers(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -387,7 +415,10 @@ def score(
     """
     spark = docs.sparkSession
     rows, others = token_table(docs, vocab, id, text, counts, kept) if tokens is None else tokens
-    schema = StructType([*(f for f in rows.schema.fields if f.name != "_ids"), StructField("_log", DoubleType())])
+    if others is not None and tokens is None:
+        rows = shared_table(rows, "tokens")
+    texts = rows.select(id, "n_tokens", "_row", "_ids", "_more")  # the words to join stay in the table
+    schema = StructType([*texts.schema.fields[:3], StructField("_log", DoubleType())])
     shared = spark.sparkContext.broadcast((p, vocab))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,12 +431,12 @@ def score(
             kept_ = [b.column(f) for f in schema.names[:-1]]
             yield pa.RecordBatch.from_arrays([*kept_, pa.array(total)], names=schema.names)
 
-    out = rows.mapInArrow(run, schema)
+    out = texts.mapInArrow(run, schema)
     total = F.col("_log")
     if others is not None:
-        out = shared_table(out.withColumn("_row", F.monotonically_increasing_id()), "scored")
+        out = shared_table(out, "scored")
         of = F.greatest(F.element_at(F.array(*map(F.lit, vocab.rare.tolist())), (F.crc32(F.col("w").cast("binary")) % BUCKETS + 1).cast("int")), F.lit(0.5))
-        each = out.select("_row", F.explode("_left").alias("w")).join(others, "w", "left")
+        each = rows.select("_row", F.explode("_left").alias("w")).join(others, "w", "left")
         each = each.select("_row", F.log(F.coalesce(F.col("n").cast("double"), F.lit(0.5)) / of).alias("_share"))
         out = out.join(each.groupBy("_row").agg(F.sum("_share").alias("_joined")), "_row", "left")
         total = total + F.coalesce("_joined", F.lit(0.0))

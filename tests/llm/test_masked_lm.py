@@ -184,3 +184,46 @@ def test_words_split_as_str_split():
 def test_counts_handed_on_in_parts(corpus):
     whole = {r.w: r.n for r in M.word_counts(corpus).collect()}
     assert {r.w: r.n for r in M.word_counts(corpus, held=50).collect()} == whole
+
+
+def test_batches_gathered():
+    """Every row once and in order; no look-up of more than ``held`` bytes but a single batch."""
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i, i], "_text": [b"x" * n, None]}) for i, n in enumerate((10, 20, 900, 30, 5, 5))]
+    got = list(M.gathered(iter(batches), held=300))
+    assert pa.Table.from_batches(got).equals(pa.Table.from_batches(batches))
+    assert 1 < len(got) < len(batches) and all(b.nbytes <= 300 or b.num_rows == 2 for b in got)
+    assert list(M.gathered(iter([]))) == []
+
+
+def test_kept_words_are_hashed_once_for_many_batches(spark, monkeypatch):
+    """A small batch of texts costs no hashing of all kept words of its own."""
+    docs = spark.createDataFrame([(i, f"a b c{i}") for i in range(3000)], "doc_id long, text string").coalesce(1)
+    counts = M.word_counts(docs)
+    vocab = M.vocabulary(docs, counts=counts)
+    real, seen = M.pc.index_in, []
+    monkeypatch.setattr(M.pc, "index_in", lambda *args: seen.append(1) or real(*args))
+    made = []
+
+    def in_small_batches(df, f, schema):
+        rows = [r.asDict() for r in df.collect()]
+        made.extend(f(pa.RecordBatch.from_pylist(rows[i : i + 512]) for i in range(0, len(rows), 512)))
+        return df.sparkSession.createDataFrame([], schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", in_small_batches)
+    M.token_table(docs, vocab, counts=counts)
+    assert len(seen) == 1 and sum(b.num_rows for b in made) == 3000
+
+
+def test_words_to_join_are_not_scored_along(spark):
+    """The scoring step reads no words: they are joined from the written table."""
+    docs = spark.createDataFrame([(i % 3, f"a b c{i}") for i in range(50)] + [(None, None)], "doc_id long, text string")
+    counts = M.word_counts(docs)
+    vocab = M.Vocabulary({"a": 0}, *M.classes(np.ones(M.TOKENS)), np.ones(M.BUCKETS))
+    given = M.token_table(docs, vocab, counts=counts, kept=0)
+    rows = M.shared_table(given[0], "tokens")
+    assert rows.select("_row").distinct().count() == 51
+    got = M.score(docs, M.initial(vocab), vocab, counts=counts, kept=0, tokens=(rows, given[1]))
+    assert got.columns == ["doc_id", "n_tokens", "log_likelihood", "mean_log_probability"]
+    again = M.score(docs, M.initial(vocab), vocab, counts=counts, kept=0)
+    key = lambda r: (r.doc_id is None, r.doc_id, round(r.log_likelihood, 9))
+    assert sorted(map(key, got.collect()), key=str) == sorted(map(key, again.collect()), key=str)
